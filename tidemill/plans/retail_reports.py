@@ -79,8 +79,8 @@ def ads_page_path(t, d) -> DataFrame:
     A session may hold any share of the day's views; the ordered operator cuts such a session by view time.
     """
     views = t["dwd_traffic_page_view_inc"].where(F.col("ds") == d).select(
-        "session_id", "page_id", F.col("view_time").cast("timestamp").alias("at"), "view_time", "view_seq")
-    steps = OrderedGroups(views, ["session_id"], [F.col("view_time"), F.col("view_seq")],
+        "session_id", "page_id", F.col("view_time").cast("timestamp").alias("at"), "view_time")
+    steps = OrderedGroups(views, ["session_id"], [F.col("view_time"), F.col("page_id")],
                           F.unix_micros("at")).step("page_id", "next_page_id", "rn")
     source = F.concat(F.lit("step-"), F.col("rn").cast("string"), F.lit(":"), "page_id")
     target = F.concat(F.lit("step-"), (F.col("rn") + 1).cast("string"), F.lit(":"), "next_page_id")
