@@ -37,6 +37,10 @@ class Dialect:
     def k(self) -> str:
         return "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
 
+    def page(self) -> str:
+        return ("case event_type when 'view' then '首页' when 'click' then '自定义承接页' "
+                "when 'purchase' then '商品详情页' else '其他' end")
+
 
 def sources(dialect: Dialect) -> dict[str, str]:
     """name -> SELECT over the given tables (``{orders}`` style references)."""
@@ -294,4 +298,107 @@ def sources(dialect: Dialect) -> dict[str, str]:
                    1000 + c_nationkey * 10 as district_id, c_custkey % 50 as complex_id,
                    'moved ' || c_name as address, 1 as is_default, {q.ds('o_orderdate')} as dt, o_orderkey as seq
             from {{orders}} join {{customer}} on o_custkey = c_custkey""",
+        # ---- product ranking board
+        "ods_product_base": """
+            select p_partkey as product_id, p_name as product_name, p_type as product_category, p_brand as brand,
+                   p_size as shop_id from {part}""",
+        "ods_product_sales_daily": f"""
+            select l_partkey as product_id, {q.ds('o_orderdate')} as stat_date,
+                   sum(case when l_returnflag = 'R' then -{price} else {price} end) as sales_amount,
+                   cast(sum(case when l_returnflag = 'R' then -l_quantity else l_quantity end) as bigint)
+                     as sales_quantity, cast(sum(l_linenumber - 1) as bigint) as visitor_count,
+                   count(*) as pay_buyer_count, cast(sum(l_linenumber) as bigint) as add_cart_count
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
+            group by l_partkey, {q.ds('o_orderdate')}""",
+        "ods_traffic_source_daily": f"""
+            select l_partkey as product_id, 'source ' || l_returnflag || cast(l_linenumber as string) as source_name,
+                   {q.ds('o_orderdate')} as stat_date, cast(l_quantity as int) - 1 as visitor_count,
+                   l_linenumber as pay_buyer_count, cast(l_quantity as int) * 2 as click_count,
+                   cast(l_quantity as int) * 30 as stay_duration
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
+        "ods_sku_sales_inventory_daily": f"""
+            select l_partkey as sku_id, l_partkey as product_id, 'sku ' || cast(l_partkey as string) as sku_info,
+                   {q.ds('o_orderdate')} as stat_date, cast(sum(l_quantity) as bigint) as pay_quantity,
+                   sum({price}) as sales_amount, cast(40 - sum(l_quantity) as bigint) as current_stock,
+                   cast(sum(l_linenumber) as bigint) as stock_in
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
+            group by l_partkey, {q.ds('o_orderdate')}""",
+        "ods_search_word_daily": f"""
+            select o_orderpriority || ' ' || c_mktsegment as search_word, l_partkey as product_id,
+                   {q.ds('o_orderdate')} as stat_date, l_linenumber * 3 as search_count, l_linenumber * 2 as click_count,
+                   cast(l_quantity as int) as visitor_count
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join {{customer}} on o_custkey = c_custkey""",
+        "ods_price_strength_product": f"""
+            select l_partkey as product_id, 'level ' || cast(l_linenumber % 3 as string) as price_strength_level,
+                   {price} as coupon_price, 'band ' || l_returnflag as price_band, {q.ds('o_orderdate')} as ds
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
+        "ods_product_warning_daily": f"""
+            select l_partkey as product_id, {q.ds('o_orderdate')} as stat_date, 'refund' as warning_type,
+                   'line ' || cast(l_linenumber as string) as warning_reason,
+                   'W' || cast(l_linenumber % 2 as string) as warning_level, l_linestatus as handle_status
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_returnflag = 'R'""",
+        # ---- category board
+        "ods_sales_full": f"""
+            select l_partkey as item_id, p_name as item_name, p_type as category_id, lower(p_type) as category_name,
+                   {price} as pay_amount, cast(l_quantity as bigint) as pay_quantity,
+                   cast(length(p_type) * 100000 as bigint) as target_gmv, length(p_type) as last_month_rank,
+                   {q.tm('o_orderdate')} as create_time
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join {{part}} on l_partkey = p_partkey""",
+        "ods_attribute_info": f"""
+            select {q.k()} as item_id, {q.k()} % 10 as category_id, 'cat ' || cast({q.k()} % 10 as string)
+                     as category_name, event_type as attr_id, 'v' || cast(user_id % 4 as string) as attr_value,
+                   user_id as visitor_id, case when {q.k()} % 3 = 0 then 1 else 0 end as is_pay,
+                   {q.tm('ts')} as visit_time from {{events}}""",
+        "ods_traffic_detail": f"""
+            select {q.k()} % 10 as category_id, 'cat ' || cast({q.k()} % 10 as string) as category_name,
+                   event_type as channel, case when user_id % 2 = 0 then 'word' || cast({q.k()} % 12 as string) end
+                     as search_word, user_id as visitor_id, case when {q.k()} % 3 = 0 then 1 else 0 end as is_pay,
+                   {q.tm('ts')} as visit_time from {{events}}""",
+        "ods_user_behavior_full": f"""
+            select user_id, {q.k()} % 10 as category_id, 'cat ' || cast({q.k()} % 10 as string) as category_name,
+                   case event_type when 'purchase' then 'pay' when 'signup' then 'search' else 'visit' end
+                     as behavior_type, {q.tm('ts')} as behavior_time from {{events}}""",
+        "ods_user_profile": """
+            select c_custkey as user_id, 20 + c_custkey % 4 * 10 as age,
+                   case when c_custkey % 2 = 0 then 'F' else 'M' end as gender, c_nationkey as region,
+                   c_mktsegment as consumption_level from {customer}""",
+        # ---- page board
+        "ods_user_behavior": f"""
+            select event_id, user_id, {q.tm('ts')} as click_time, {q.page()} as page_type, {q.k()} % 20 as block_id,
+                   case {q.k()} % 6 when 0 then '直播间' when 1 then '短视频' when 2 then '图文' when 3 then '微详情'
+                        when 4 then '搜索' else '推荐' end as channel,
+                   case when {q.k()} % 5 = 0 then 0 else 1 end as is_click, {q.ds('ts')} as ds from {{events}}""",
+        "ods_page_structure": f"""
+            select distinct {q.page()} as page_type, {q.k()} % 20 as block_id,
+                   case when {q.k()} % 20 % 4 = 0 then '商品' else '模块' end || cast({q.k()} % 20 as string)
+                     as block_name, 'pos ' || cast({q.k()} % 20 % 3 as string) as block_position, {q.ds('ts')} as ds
+            from {{events}}""",
+        "ods_trade_data": f"""
+            select event_id as trade_id, user_id, {q.dec('value')} as pay_amount, {q.k()} % 20 as guide_block_id,
+                   {q.tm('ts')} as pay_time, {q.ds('ts')} as ds from {{events}}
+            where event_type in ('purchase', 'signup')""",
+        # ---- store board
+        "ods_wireless_instore_log": f"""
+            select user_id as visitor_id, 'store ' || cast({q.k()} % 7 as string) as store_id,
+                   'page ' || cast(user_id % 5 as string) as page_type, {q.tm('ts')} as visit_time,
+                   case when {q.k()} % 4 = 0 then 1 else 0 end as is_buy, {q.ds('ts')} as dt
+            from {{events}} where event_type in ('view', 'click')""",
+        "ods_page_visit_log": f"""
+            select user_id as visitor_id, 'store ' || cast({q.k()} % 7 as string) as store_id,
+                   'kind ' || cast(user_id % 3 as string) as page_category,
+                   'sub ' || cast(user_id % 4 as string) as page_subtype, {q.tm('ts')} as visit_time,
+                   cast(floor(value) as int) as stay_time, {q.ds('ts')} as dt
+            from {{events}} where event_type = 'purchase'""",
+        "ods_instore_flow_log": f"""
+            select user_id as visitor_id, 'store ' || cast({q.k()} % 7 as string) as store_id,
+                   case when {q.k()} % 11 > 0 then 'from ' || cast(user_id % 6 as string) end as source_page,
+                   'to ' || cast({q.k()} % 5 as string) as target_page, {q.tm('ts')} as jump_time, {q.ds('ts')} as dt
+            from {{events}} where event_type = 'signup'""",
+        "ods_pc_entry_log": f"""
+            select user_id as visitor_id, 'store ' || cast({q.k()} % 7 as string) as store_id,
+                   'entry ' || cast(user_id % 30 as string) as source_page, {q.tm('ts')} as visit_time,
+                   {q.ds('ts')} as dt from {{events}} where event_type = 'error'""",
+        "transactions": f"""
+            select o_custkey as customer_id, o_orderkey as transaction_id, {q.tm('o_orderdate')} as transaction_date,
+                   {q.dec('o_totalprice')} as transaction_amount from {{orders}}""",
     }

@@ -65,3 +65,18 @@ def unfold_horizons(df: DataFrame, keys: Sequence[str], horizons: Sequence[int],
         F.struct(F.lit(n).alias("recent_days"), *[F.col(f"{stem}_{n}d").alias(o) for o, stem in stems.items()])
         for n in horizons]))
     return df.select(*keys, rows.alias("_r")).select("_r.recent_days", *keys, *[f"_r.{o}" for o in stems])
+
+
+def horizon_distinct(df: DataFrame, date_col: str, d: str, horizons: Sequence[int], keys: Sequence[str], ident: str,
+                     counts: Mapping[str, Column | None]) -> DataFrame:
+    """Distinct ids per key and horizon; ``counts`` maps output -> condition (None: every row).
+
+    One row per (keys, id) remembers the last qualifying day, which answers every horizon at once: no row is copied
+    per horizon and no per-group id set is ever built, so a hot key spreads over its ids.
+    """
+    last = [F.max(F.col(date_col) if cond is None else F.when(cond, F.col(date_col))).alias(f"_{o}")
+            for o, cond in counts.items()]
+    seen = in_last(df, date_col, d, max(horizons)).where(F.col(ident).isNotNull()).groupBy(*keys, ident).agg(*last)
+    per_horizon = [F.count(F.when(F.col(f"_{o}") >= horizon_start(d, n), F.lit(1))).alias(f"{o}_{n}d")
+                   for n in horizons for o in counts]
+    return unfold_horizons(seen.groupBy(*keys).agg(*per_horizon), list(keys), horizons, {o: o for o in counts})
