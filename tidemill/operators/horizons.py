@@ -28,19 +28,30 @@ def multi_horizon(df: DataFrame, date_col: str, d: str, horizons: Sequence[int],
     return explode_horizons(df, date_col, d, horizons).groupBy("recent_days", *keys).agg(*aggs)
 
 
-def horizon_sums(df: DataFrame, date_col: str, d: str, horizons: Sequence[int], keys: Sequence[str],
-                 sums: Mapping[str, str]) -> DataFrame:
-    """Additive form of C1: ``sums`` maps output name -> input column.
+_MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
+def horizon_rollup(df: DataFrame, date_col: str, d: str, horizons: Sequence[int], keys: Sequence[str],
+                   aggs: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """C1 for measures that can be merged; ``aggs`` maps output -> (sum | count | min | max, input column).
 
-    Aggregates once per (keys, age class) and copies only those few rows, so no fact row is ever duplicated.
+    Aggregates once per (keys, age class) -- on the map side -- and copies only those few rows per horizon, so no
+    fact row is ever duplicated and one shuffle serves all horizons.
     """
     bounds = sorted(horizons)
     age = F.coalesce(*[F.when(F.col(date_col) >= horizon_start(d, n), F.lit(n)) for n in bounds])
+    first = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
     base = (in_last(df, date_col, d, bounds[-1]).withColumn("_age", age)
-            .groupBy(*keys, "_age").agg(*[F.sum(c).alias(o) for o, c in sums.items()]))
+            .groupBy(*keys, "_age").agg(*[first[kind](c).alias(o) for o, (kind, c) in aggs.items()]))
     covers = F.filter(F.array(*[F.lit(n) for n in bounds]), lambda n: n >= F.col("_age"))
     return (base.withColumn("recent_days", F.explode(covers)).groupBy("recent_days", *keys)
-            .agg(*[F.sum(o).alias(o) for o in sums]))
+            .agg(*[_MERGE[kind](o).alias(o) for o, (kind, _) in aggs.items()]))
+
+
+def horizon_sums(df: DataFrame, date_col: str, d: str, horizons: Sequence[int], keys: Sequence[str],
+                 sums: Mapping[str, str]) -> DataFrame:
+    """Additive form: ``sums`` maps output name -> input column."""
+    return horizon_rollup(df, date_col, d, horizons, keys, {o: ("sum", c) for o, c in sums.items()})
 
 
 def horizon_wide(df: DataFrame, date_col: str, d: str, horizons: Sequence[int], keys: Sequence[str],

@@ -42,8 +42,9 @@ def quintile(value: Column, edges: Column, descending: bool = False) -> Column:
 
 def quintile_scores(df: DataFrame, scores: dict[str, tuple[str, bool]]) -> DataFrame:
     """Add quintile scores; ``scores`` maps output -> (value column, smaller is better)."""
+    base = df
     for out, (col, descending) in scores.items():
-        edges = quantile_edges(df, col, (0.2, 0.4, 0.6, 0.8))
+        edges = quantile_edges(base, col, (0.2, 0.4, 0.6, 0.8))
         # the four edges of one column as one scalar struct
         df = df.withColumn("_e", edges.select(F.struct("q0", "q1", "q2", "q3").alias("e")).scalar())
         df = df.withColumn(out, quintile(F.col(col).cast("double"), F.col("_e"), descending)).drop("_e")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.dates import horizon_start
 from tidemill.functions.numbers import mean, no_negative, ratio
 from tidemill.operators.dims import lookup
-from tidemill.operators.horizons import explode_horizons, horizon_distinct, multi_horizon
+from tidemill.operators.horizons import explode_horizons, horizon_distinct, horizon_rollup, horizon_sums
 from tidemill.operators.ranking import top_n, with_group_total
 
 HORIZONS = (1, 7, 30)
@@ -73,32 +73,30 @@ def _spanned(df: DataFrame, d: str) -> DataFrame:
 
 
 def dws_product_sales(t, d) -> DataFrame:
-    return _spanned(multi_horizon(t["dwd_product_sales_daily"], "stat_date", d, HORIZONS,
-                                  ["product_name", "product_category"],
-                                  [F.sum("sales_amount").alias("total_sales_amount"),
-                                   F.sum("sales_quantity").alias("total_sales_quantity")]), d)
+    return _spanned(horizon_sums(t["dwd_product_sales_daily"], "stat_date", d, HORIZONS,
+                                 ["product_name", "product_category"],
+                                 {"total_sales_amount": "sales_amount", "total_sales_quantity": "sales_quantity"}), d)
 
 
 def dws_traffic_source(t, d) -> DataFrame:
     """Weighted conversion: all buyers over all visitors."""
-    buyers, visitors = F.sum("pay_buyer_count"), F.sum("visitor_count")
-    return _spanned(multi_horizon(t["dwd_traffic_source_daily"], "stat_date", d, HORIZONS, ["source_name"],
-                                  [visitors.alias("total_visitor_count"),
-                                   ratio(buyers, visitors, 4).alias("total_pay_conversion_rate")]), d)
+    rows = horizon_sums(t["dwd_traffic_source_daily"], "stat_date", d, HORIZONS, ["source_name"],
+                        {"total_visitor_count": "visitor_count", "_buyers": "pay_buyer_count"})
+    rate = ratio(F.col("_buyers"), F.col("total_visitor_count"), 4)
+    return _spanned(rows.withColumn("total_pay_conversion_rate", rate).drop("_buyers"), d)
 
 
 def dws_sku_sales(t, d) -> DataFrame:
-    return _spanned(multi_horizon(t["dwd_sku_sales_inventory_daily"], "stat_date", d, HORIZONS,
-                                  ["sku_id", "product_name", "sku_info"],
-                                  [F.sum("pay_quantity").alias("total_pay_quantity"),
-                                   F.max("current_stock").alias("current_stock"),
-                                   ratio(F.sum("stock_available_days"), F.count("stock_available_days"))
-                                   .alias("stock_available_days")]), d)
+    rows = horizon_rollup(t["dwd_sku_sales_inventory_daily"], "stat_date", d, HORIZONS,
+                          ["sku_id", "product_name", "sku_info"], {
+                              "total_pay_quantity": ("sum", "pay_quantity"), "current_stock": ("max", "current_stock"),
+                              "_s": ("sum", "stock_available_days"), "_n": ("count", "stock_available_days")})
+    return _spanned(rows.withColumn("stock_available_days", ratio(F.col("_s"), F.col("_n"))).drop("_s", "_n"), d)
 
 
 def dws_search_word(t, d) -> DataFrame:
-    return _spanned(multi_horizon(t["dwd_search_word_daily"], "stat_date", d, HORIZONS, ["search_word"],
-                                  [F.sum("visitor_count").alias("total_visitor_count")]), d)
+    return _spanned(horizon_sums(t["dwd_search_word_daily"], "stat_date", d, HORIZONS, ["search_word"],
+                                 {"total_visitor_count": "visitor_count"}), d)
 
 
 def dws_price_strength(t, d) -> DataFrame:
