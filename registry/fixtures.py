@@ -23,7 +23,7 @@ class Dialect:
         return f"date_format({x},'yyyy-MM-dd HH:mm:ss')" if self.spark else f"strftime({x},'%Y-%m-%d %H:%M:%S')"
 
     def ms(self, x: str) -> str:
-        return f"unix_millis(cast({x} as timestamp))" if self.spark else f"epoch_ms({x})"
+        return f"unix_millis(cast({x} as timestamp))" if self.spark else f"(epoch_us({x}) // 1000)"
 
     def hours(self, x: str, h: str) -> str:
         return f"({x} + make_dt_interval(0, cast({h} as int), 0, 0))" if self.spark else f"({x} + to_hours({h}))"
@@ -41,12 +41,20 @@ class Dialect:
         return ("case event_type when 'view' then '首页' when 'click' then '自定义承接页' "
                 "when 'purchase' then '商品详情页' else '其他' end")
 
+    def t0(self) -> str:
+        """A time of day for every order: the order table only has days."""
+        return f"({self.ms('o_orderdate')} + o_orderkey % 86400 * 1000)"
+
+    def line_id(self) -> str:
+        return ("cast(l_orderkey as string) || '-' || cast(l_partkey as string) || '-' || cast(l_suppkey as string) "
+                "|| '-' || cast(l_linenumber as string)")
+
 
 def sources(dialect: Dialect) -> dict[str, str]:
     """name -> SELECT over the given tables (``{orders}`` style references)."""
     q = dialect
     price, disc, tax = q.dec("l_extendedprice"), "cast(l_discount as decimal(4,2))", "cast(l_tax as decimal(4,2))"
-    return {
+    out = {
         # ---- retail
         "ods_base_region": "select r_regionkey as id, r_name as region_name from {region}",
         "ods_base_province": """
@@ -401,4 +409,76 @@ def sources(dialect: Dialect) -> dict[str, str]:
         "transactions": f"""
             select o_custkey as customer_id, o_orderkey as transaction_id, {q.tm('o_orderdate')} as transaction_date,
                    {q.dec('o_totalprice')} as transaction_amount from {{orders}}""",
+        # ---- event and change feeds, one flat table per record type
+        "log_events": f"""
+            select event_id, event_type as kind, cast(user_id as string) as mid,
+                   case when user_id % 5 > 0 then cast(user_id as string) end as uid,
+                   'v' || cast(user_id % 3 as string) as vc, 'ch' || cast(user_id % 4 as string) as ch,
+                   'ar' || cast(user_id % 6 as string) as ar, cast(user_id % 2 as string) as is_new,
+                   case event_type when 'view' then 'home' when 'click' then 'good_detail' when 'purchase' then 'search'
+                        else 'cart' end as page_id,
+                   case event_type when 'view' then '' when 'click' then 'login' when 'purchase' then 'search'
+                        else 'home' end as last_page_id,
+                   case event_type when 'purchase' then 'Red widget ' || cast({q.k()} as string)
+                        when 'click' then cast({q.k()} as string) end as item,
+                   case event_type when 'purchase' then 'keyword' when 'click' then 'sku_id' end as item_type,
+                   cast({q.dec('value')} * 1000 as bigint) as during_time, {q.ms('ts')} as ts, {q.k()} as k
+            from {{events}}""",
+        "chg_order_info": f"""
+            select cast(o_orderkey as string) as id, cast(o_custkey as string) as user_id,
+                   cast(c_nationkey as string) as province_id, s.op, s.was, s.status, {q.t0()} + s.lag_ms as ts_ms
+            from {{orders}} join {{customer}} on o_custkey = c_custkey
+            join (select * from (values ('r', cast(null as string), '1001', 0, 'any'), ('u', '1001', '1003', 60000, 'P'),
+                 ('u', '1002', '1005', 2000, 'F'), ('u', '1004', '1006', 3000, 'O'))
+                 as v(op, was, status, lag_ms, state)) s
+            on s.state = 'any' or (s.state = o_orderstatus and (s.state <> 'P' or o_orderpriority = '5-LOW'))""",
+        "chg_order_detail": f"""
+            select {q.line_id()} as id, cast(l_orderkey as string) as order_id, cast(l_partkey as string) as sku_id,
+                   p_name as sku_name, cast({q.t0()} as string) as create_time,
+                   cast(cast(l_quantity as int) as string) as sku_num, cast({price} as string) as order_price,
+                   cast({price} * {disc} as string) as split_activity_amount,
+                   case when l_tax > 0 then cast({price} * {tax} as string) end as split_coupon_amount,
+                   cast({price} * (1 - {disc}) as string) as split_total_amount, l_discount, l_tax,
+                   {q.t0()} + (l_linenumber - 1) * 1000 as ts_ms
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join {{part}} on l_partkey = p_partkey""",
+        "chg_payment_info": f"""
+            select cast(o_custkey as string) as user_id, cast(o_orderkey as string) as order_id,
+                   cast(1101 + o_custkey % 3 as string) as payment_type,
+                   case when o_orderstatus = 'P' then '1601' else '1602' end as payment_status,
+                   cast({q.t0()} + o_custkey % 10 * 1000 as string) as callback_time,
+                   {q.t0()} + o_custkey % 10 * 1000 as ts_ms from {{orders}}""",
+        "chg_refund_info": f"""
+            select {q.line_id()} as id, cast(o_custkey as string) as user_id, cast(l_orderkey as string) as order_id,
+                   cast(l_partkey as string) as sku_id, cast(1501 + l_linenumber % 2 as string) as refund_type,
+                   cast(1501 + l_linenumber % 3 as string) as refund_reason_type, 'text ' || l_linestatus
+                     as refund_reason_txt, cast(cast(l_quantity as int) as string) as refund_num,
+                   cast({price} as string) as refund_amount, cast({q.t0()} as string) as create_time,
+                   {q.t0()} + l_linenumber * 500 as ts_ms
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_returnflag = 'R'""",
+        "chg_refund_payment": f"""
+            select {q.line_id()} as id, cast(l_orderkey as string) as order_id, cast(l_partkey as string) as sku_id,
+                   cast(1101 + l_linenumber % 3 as string) as payment_type, cast({q.t0()} + 5000 as string)
+                     as callback_time, cast({price} as string) as total_amount,
+                   {q.t0()} + 1000 + l_linenumber * 200 as ts_ms
+            from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
+            where l_returnflag = 'R' and l_linestatus = 'F'""",
+        "chg_comment_info": """
+            select cast(conv_id as string) || '-' || cast(turn as string) as id, cast(conv_id as string) as user_id,
+                   cast(turn as string) as sku_id, cast(1201 + conv_id % 4 as string) as appraise, text as comment_txt,
+                   cast(1700000000000 as bigint) + conv_id * 1000 + turn as ts_ms from {conversations}""",
+        "chg_cart_info": f"""
+            select cast(event_id as string) as id, cast(user_id as string) as user_id,
+                   cast({q.k()} as string) as sku_id, case when {q.k()} % 2 = 0 then 'r' else 'u' end as op,
+                   case when {q.k()} % 2 = 1 and {q.k()} % 5 > 0 then cast({q.k()} % 10 as string) end as was,
+                   cast({q.k()} % 7 + 1 as string) as sku_num, {q.ms('ts')} as ts_ms
+            from {{events}} where event_type = 'click'""",
+        "dwd_detail_versions": f"""
+            select d.id, d.order_id, cast(o_custkey as string) as user_id, d.sku_id, d.sku_name,
+                   cast(o_custkey % 25 as string) as province_id, d.order_price as split_original_amount,
+                   case when v.n = 2 then d.split_activity_amount end as split_activity_amount, d.split_coupon_amount,
+                   d.split_total_amount, d.ts_ms + (v.n - 1) * 3000 as ts
+            from ({{d}}) d join {{orders}} on d.order_id = cast(o_orderkey as string)
+            join (select * from (values (1), (2)) as w(n)) v on v.n = 1 or d.l_discount > 0.05""",
     }
+    out["dwd_detail_versions"] = out["dwd_detail_versions"].replace("{d}", out["chg_order_detail"])
+    return out

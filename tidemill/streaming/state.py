@@ -26,9 +26,11 @@ def once_per_window(df: DataFrame, keys: Sequence[str], grain: str, time: str =
 
     Two steps: the first spreads a hot key over salts, the second sees at most ``SALTS`` rows of it.
     """
-    salt = F.pmod(F.xxhash64(time, *[c for c, t in df.dtypes if c not in keys and not t.startswith("map")]), F.lit(SALTS))
-    w = df.withColumn("_w", F.window(time, grain)).withColumn("_salt", salt)
-    return w.dropDuplicates(["_w", *keys, "_salt"]).dropDuplicates(["_w", *keys])
+    rest = [c for c, t in df.dtypes if c not in keys and not t.startswith("map")]
+    salt = F.pmod(F.xxhash64(*rest), F.lit(SALTS))
+    # the window is the one event-time column from here on
+    w = df.withColumn("_w", F.window(time, grain)).withColumn("_salt", salt).drop(time)
+    return w.dropDuplicates(["_w", *keys, "_salt"]).dropDuplicates(["_w", *keys]).drop("_salt")
 
 
 class DayMemory(StatefulProcessor):
@@ -64,9 +66,9 @@ class DayMemory(StatefulProcessor):
             for (d,) in list(self.days.keys()):
                 if d < last - self.KEEP_DAYS:
                     self.days.removeKey((d,))
-        frame = pd.DataFrame(out, columns=[*self.key_names(len(key)), "event_time", "is_first", "gap_days"])
-        frame["gap_days"] = frame["gap_days"].astype("Int64")
-        yield frame
+            frame = pd.DataFrame(out, columns=[*self.key_names(len(key)), "event_time", "is_first", "gap_days"])
+            frame["gap_days"] = frame["gap_days"].astype("Int64")
+            yield frame
 
     @staticmethod
     def key_names(n: int) -> list[str]:
@@ -81,7 +83,8 @@ def first_of_day(df: DataFrame, keys: Sequence[str], grain: str) -> DataFrame:
 
     ``grain`` is the window the result will be counted in; the event time is exact to that window.
     """
-    thin = once_per_window(df.select(*keys, "event_time"), keys, grain).select(*keys, "event_time")
+    thin = once_per_window(df.select(*keys, "event_time"), keys, grain).select(
+        *keys, F.window_time("_w").alias("event_time"))
     named = ", ".join(f"k{i} {t}" for i, (_, t) in enumerate(thin.select(*keys).dtypes))
     out = thin.groupBy(*keys).transformWithStateInPandas(
         DayMemory(), f"{named}, event_time timestamp, is_first int, gap_days bigint", "append", "eventTime",
@@ -120,7 +123,7 @@ class Replaced(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.kept.exists() and self.kept.get()[0] + self.ttl_ms < expiredTimerInfo.getExpiryTimeInMs():
             self.kept.clear()
-        yield pd.DataFrame({c: [] for c in ["id", "event_time", "sign", *self.names]})
+        yield from ()
 
     def close(self) -> None:
         pass
