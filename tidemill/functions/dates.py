@@ -68,8 +68,8 @@ def span_label(end: Column, n: int) -> Column:
 
 def date_spine(spark: SparkSession, first: str, last: str) -> DataFrame:
     """One row per day, both ends included, as ``yyyymmdd`` integers."""
-    days = F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date")))
-    return spark.range(1).select(F.date_format(days, "yyyyMMdd").cast("int").alias("day"))
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("d"))
+    return days.select(F.date_format("d", "yyyyMMdd").cast("int").alias("day"))
 
 
 def event_millis(col: Column) -> Column:
