@@ -591,20 +591,22 @@ q("X10_composite_key_window", lambda t: done(metrics.windowed(pages(t).where(liv
     F.count(F.lit(1)).alias("n")), "x10"), f"select {win('ts', 10)}, vc, ch, ar, is_new, {N} from page_log {BY}")
 
 
-def two_files(t: Tables) -> DataFrame:
-    """A second file far behind the first one's clock: its rows are late and must not appear."""
+def late_file(t: Tables) -> DataFrame:
+    """Four files, one per batch: the rows, two heartbeats that move the clock past every window, and the same rows
+    again under the name ``late``: they come after their windows closed and must not appear."""
     path = fresh_path(t.spark, "late")
     rows = t["log_events"].select("mid", "ts")
-    beat = rows.agg((F.max("ts") + 86_400_000).alias("ts")).select(F.lit("beat").alias("mid"), "ts")
+    rows.coalesce(1).write.json(path)
+    for extra in (1, 2):
+        beat = rows.agg((F.max("ts") + 86_400_000 + extra).alias("ts")).select(F.lit("beat").alias("mid"), "ts")
+        beat.coalesce(1).write.mode("append").json(path)
+    rows.withColumn("mid", F.lit("late")).coalesce(1).write.mode("append").json(path)
     reader = t.spark.readStream.schema("mid string, ts bigint").option("maxFilesPerTrigger", 1)
-    rows.unionByName(beat).coalesce(1).write.json(path)
-    late = rows.withColumn("mid", F.lit("late"))
-    late.coalesce(1).write.mode("append").json(path)
     clock = metrics.clocked(reader.json(path), "ts", "0 seconds").where(live(F.col("mid") != "beat"))
     return done(metrics.windowed(clock, "1 hour", [], F.count(F.lit(1)).alias("n")), "late")
 
 
-q("X11_late_rows_dropped", two_files, f"select {win('ts', 3600)}, {N} from log_events {BY}")
+q("X11_late_rows_dropped", late_file, f"select {win('ts', 3600)}, {N} from log_events {BY}")
 q("X12_first_of_day", lambda t: dedup.first_of_day(t["log_events"].select("mid", F.timestamp_millis("ts").alias("ts")), "mid")
   .select("mid", "ds", F.unix_millis("ts").alias("ms")), """
 select mid, strftime(make_timestamp_ms(ts), '%Y-%m-%d') as ds, min(ts) as ms from log_events group by 1, 2""")

@@ -431,9 +431,9 @@ def amount(col: str, out: str) -> str:
     return f"cast(sum(sign * coalesce(cast({col} as decimal(16,4)), 0)) as double) as {out}"
 
 
-REG.query("R20_sku_orders", lambda t: micro(
-    metrics.sku_orders(details(t, "0 seconds")), "skuorders",
-    lambda b: metrics.with_sku_names(b, t.with_tables(ods_sku_info=_text_sku(t)))), f"""
+REG.query("R20_sku_orders", lambda t: metrics.with_sku_names(
+    run_to_table(metrics.sku_orders(details(t, "0 seconds")), "skuorders"),
+    t.with_tables(ods_sku_info=_text_sku(t))), f"""
 select x.*, sku_name, spu_id, tm_id, category3_id, spu_name, tm_name, category3_name, category2_id, category2_name,
   category1_id, category1_name from (
   select {win('w * 5000', 5)}, sku_id, {', '.join(amount(c, o) for c, o in AMTS.items())} from signed_5 group by all) x

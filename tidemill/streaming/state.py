@@ -92,7 +92,7 @@ def first_of_day(df: DataFrame, keys: Sequence[str], grain: str) -> DataFrame:
     return out.withColumnsRenamed({f"k{i}": k for i, k in enumerate(keys)})
 
 
-BUCKETS = 512
+BUCKETS = 256
 
 
 class Replaced(StatefulProcessor):
@@ -155,29 +155,41 @@ def with_retractions(df: DataFrame, key: str, version: str, payload: Sequence[st
 
 
 class Newest(StatefulProcessor):
-    """Pass a row only when its version exceeds every version seen before."""
+    """Pass a row only when its version exceeds every version of its id seen before (X17); bucketed like
+    :class:`Replaced`. An id is forgotten ``ttl_ms`` after its newest row."""
+
+    def __init__(self, id_type: str, ttl_ms: int):
+        self.id_type, self.ttl_ms = id_type, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.top = handle.getValueState("top", "v bigint")
+        self.top = handle.getListState("top", f"id {self.id_type}, ts_ms bigint, at_ms bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        top = self.top.get()[0] if self.top.exists() else None
-        for pdf in rows:
-            pdf = pdf.sort_values(["event_time", "ts_ms"], kind="stable")
-            before = pdf["ts_ms"].cummax().shift(fill_value=-1)
-            keep = pdf["ts_ms"] > before.clip(lower=-1 if top is None else top)
-            top = max(int(pdf["ts_ms"].max()), -1 if top is None else top)
-            yield pdf.loc[keep, ["id", "ts_ms", "event_time"]]
-        self.top.update((top,))
+        cols = ["id", "ts_ms", "at_ms"]
+        new = pd.concat(list(rows), ignore_index=True).sort_values(["event_time", "ts_ms"], kind="stable")
+        new["at_ms"] = (new["event_time"] - pd.Timestamp(0)) // pd.Timedelta(milliseconds=1)
+        old = pd.DataFrame(list(self.top.get()), columns=cols)
+        every = pd.concat([old, new[[*cols, "event_time"]]], ignore_index=True).astype({"ts_ms": "int64", "at_ms": "int64"})
+        seen = every.groupby("id")["ts_ms"].cummax().groupby(every["id"]).shift()
+        passed = every[every["event_time"].notna() & (seen.isna() | (every["ts_ms"] > seen))]
+        kept = every.groupby("id", as_index=False)[["ts_ms", "at_ms"]].max()
+        kept = kept[kept["at_ms"] + self.ttl_ms >= timerValues.getCurrentWatermarkInMs()]
+        if len(kept):
+            self.top.put([(i, int(v), int(a)) for i, v, a in kept[cols].itertuples(index=False, name=None)])
+        else:
+            self.top.clear()
+        if len(passed):
+            yield passed[["id", "ts_ms", "event_time"]]
 
     def close(self) -> None:
         pass
 
 
-def only_newer(df: DataFrame) -> DataFrame:
+def only_newer(df: DataFrame, ttl_ms: int = 86_400_000, buckets: int = BUCKETS) -> DataFrame:
     """Newest-first filter over ``id, ts_ms, event_time``; equal (id, ts_ms) pairs are dropped in the JVM before."""
     thin = df.select("id", "ts_ms", "event_time").dropDuplicatesWithinWatermark(["id", "ts_ms"])
-    types = dict(thin.dtypes)
-    return thin.groupBy("id").transformWithStateInPandas(
-        Newest(), f"id {types['id']}, ts_ms bigint, event_time timestamp", "append", "eventTime",
+    kind = dict(thin.dtypes)["id"]
+    return thin.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")).groupBy(
+        "_b").transformWithStateInPandas(
+        Newest(kind, ttl_ms), f"id {kind}, ts_ms bigint, event_time timestamp", "append", "eventTime",
         eventTimeColumnName="event_time")
