@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join input even where the split costs one more exchange downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # sizes are judged from compressed files; without this a fact table looks small enough to broadcast
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
