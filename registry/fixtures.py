@@ -424,14 +424,16 @@ def sources(dialect: Dialect) -> dict[str, str]:
                    case event_type when 'purchase' then 'keyword' when 'click' then 'sku_id' end as item_type,
                    cast({q.dec('value')} * 1000 as bigint) as during_time, {q.ms('ts')} as ts, {q.k()} as k
             from {{events}}""",
-        "chg_order_info": f"""
+        "chg_order_info": " union all ".join(f"""
             select cast(o_orderkey as string) as id, cast(o_custkey as string) as user_id,
-                   cast(c_nationkey as string) as province_id, s.op, s.was, s.status, {q.t0()} + s.lag_ms as ts_ms
-            from {{orders}} join {{customer}} on o_custkey = c_custkey
-            join (select * from (values ('r', cast(null as string), '1001', 0, 'any'), ('u', '1001', '1003', 60000, 'P'),
-                 ('u', '1002', '1005', 2000, 'F'), ('u', '1004', '1006', 3000, 'O'))
-                 as v(op, was, status, lag_ms, state)) s
-            on s.state = 'any' or (s.state = o_orderstatus and (s.state <> 'P' or o_orderpriority = '5-LOW'))""",
+                   cast(c_nationkey as string) as province_id, '{op}' as op, {was} as was, '{status}' as status,
+                   {q.t0()} + {lag} as ts_ms
+            from {{orders}} join {{customer}} on o_custkey = c_custkey where {state}"""
+            for op, was, status, lag, state in (
+                ("r", "cast(null as string)", "1001", 0, "true"),
+                ("u", "'1001'", "1003", 60000, "o_orderstatus = 'P' and o_orderpriority = '5-LOW'"),
+                ("u", "'1002'", "1005", 2000, "o_orderstatus = 'F'"),
+                ("u", "'1004'", "1006", 3000, "o_orderstatus = 'O'"))),
         "chg_order_detail": f"""
             select {q.line_id()} as id, cast(l_orderkey as string) as order_id, cast(l_partkey as string) as sku_id,
                    p_name as sku_name, cast({q.t0()} as string) as create_time,
@@ -472,13 +474,14 @@ def sources(dialect: Dialect) -> dict[str, str]:
                    case when {q.k()} % 2 = 1 and {q.k()} % 5 > 0 then cast({q.k()} % 10 as string) end as was,
                    cast({q.k()} % 7 + 1 as string) as sku_num, {q.ms('ts')} as ts_ms
             from {{events}} where event_type = 'click'""",
-        "dwd_detail_versions": f"""
+        "dwd_detail_versions": " union all ".join(f"""
             select d.id, d.order_id, cast(o_custkey as string) as user_id, d.sku_id, d.sku_name,
                    cast(o_custkey % 25 as string) as province_id, d.order_price as split_original_amount,
-                   case when v.n = 2 then d.split_activity_amount end as split_activity_amount, d.split_coupon_amount,
-                   d.split_total_amount, d.ts_ms + (v.n - 1) * 3000 as ts
-            from ({{d}}) d join {{orders}} on d.order_id = cast(o_orderkey as string)
-            join (select * from (values (1), (2)) as w(n)) v on v.n = 1 or d.l_discount > 0.05""",
+                   {activity} as split_activity_amount, d.split_coupon_amount, d.split_total_amount,
+                   d.ts_ms + {lag} as ts
+            from ({{d}}) d join {{orders}} on d.order_id = cast(o_orderkey as string) where {cond}"""
+            for activity, lag, cond in (("cast(null as string)", 0, "true"),
+                                        ("d.split_activity_amount", 3000, "d.l_discount > 0.05"))),
     }
     out["dwd_detail_versions"] = out["dwd_detail_versions"].replace("{d}", out["chg_order_detail"])
     return out

@@ -445,23 +445,11 @@ q("W6_next_and_number", lambda t: OrderedGroups(ev(t).select("event_id", "user_i
     "event_type", "next", "rn").drop("ts"), """
 select event_id, user_id, event_type, lead(event_type) over w as next, row_number() over w as rn from events
 window w as (partition by user_id order by ts, event_id)""")
-q("W7_moving_average", lambda t: _moving(t), """
-select ds, cast(sum(n) over w as double) / count(n) over w as mean from (select ds, count(*) as n from od group by 1)
-window w as (order by ds rows between 6 preceding and current row)""")
-
-
-def _moving(t: Tables) -> DataFrame:
-    """Mean of a day and its six predecessors over all days: difference of running sums at distance seven."""
-    days = od(t).groupBy("ds").agg(one())
-    cut = F.unix_date(F.col("ds").cast("date"))
-    run = OrderedGroups(days, [], [F.col("ds")], cut).running_sum("n", "upto")
-    numbered = OrderedGroups(run, [], [F.col("ds")], cut).row_number()
-    past = numbered.select((F.col("rn") + 7).alias("rn"), F.col("upto").alias("past"))
-    joined = numbered.join(past, "rn", "left")
-    return joined.select("ds", numbers.mean(F.col("upto") - F.coalesce("past", F.lit(0)), F.least(
-        F.col("rn"), F.lit(7))).alias("mean"))
-
-
+q("W7_moving_average", lambda t: t["dwd_sku_sales_inventory_daily"].select(
+    "sku_id", "stat_date", "pay_quantity", "avg_daily_sales"), """
+select sku_id, stat_date, pay_quantity, cast(sum(pay_quantity) over w // count(*) over w as int) as avg_daily_sales
+from ods_sku_sales_inventory_daily
+window w as (partition by sku_id order by stat_date rows between 6 preceding and current row)""")
 q("W8_share_over_partition", lambda t: ranking.with_group_total(li(t).groupBy("l_returnflag", "l_linestatus").agg(one()), [
     "l_returnflag"], "n", "al"), f"""
 select *, cast(sum(n) over (partition by l_returnflag) as bigint) as al from (

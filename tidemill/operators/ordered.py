@@ -19,7 +19,6 @@ SHARE = 64     # a group above 1/64 of all rows is cut
 SLICES = 128   # into about this many slices
 SAMPLE = 8192  # rows drawn per cut group to place the slice bounds
 SLICE = "_slice"
-_EACH = "_each"
 
 
 class OrderedGroups:
@@ -31,36 +30,40 @@ class OrderedGroups:
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column], cut: Column,
                  share: int = SHARE, slices: int = SLICES):
-        self.keys, self.order = list(keys) or [_EACH], list(order)
-        df = df if keys else df.withColumn(_EACH, F.lit(1))
+        self.keys, self.order = list(keys), list(order)
         base = df.withColumn("_cut", cut.cast("double"))
         total = base.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-        hot = (base.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") * share > total))
-        self.splits = self._cut_points(base, hot, slices)
-        self.sliced = (
-            base.alias("b")
-            .join(F.broadcast(self.splits.alias("s")), _same_pair(self.keys, "b", "s"), "left")
-            .withColumn(SLICE, F.when(F.col("_marks").isNull(), F.lit(-1))
-                        .otherwise(F.size(F.filter("_marks", lambda m: m < F.coalesce("_cut", F.lit(float("-inf")))))))
-            .select(*[F.col(f"b.{c}").alias(c) for c in base.columns], SLICE))
+        slice_of = F.size(F.filter("_marks", lambda m: m < F.coalesce("_cut", F.lit(float("-inf")))))
+        if not self.keys:
+            # everything is one group: its slice bounds are a single value, no join needed
+            marks = self._cut_points(base.withColumn("_n", total), slices).select("_marks").scalar()
+            self.sliced = base.withColumn("_marks", marks).withColumn(SLICE, slice_of).drop("_marks")
+        else:
+            hot = (base.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
+                   .where(F.col("_n") * share > total))
+            inner = base.alias("b").join(F.broadcast(hot.alias("h")), _same_pair(self.keys, "b", "h"))
+            splits = self._cut_points(inner.select("b.*", "h._n"), slices)
+            self.sliced = (
+                base.alias("b")
+                .join(F.broadcast(splits.alias("s")), _same_pair(self.keys, "b", "s"), "left")
+                .withColumn(SLICE, F.when(F.col("_marks").isNull(), F.lit(-1)).otherwise(slice_of))
+                .select(*[F.col(f"b.{c}").alias(c) for c in base.columns], SLICE))
         self.local = Window.partitionBy(*self.keys, SLICE).orderBy(*self.order)
+        # runs over per-slice rows only, at most SHARE * SLICES of them
         self._chain = Window.partitionBy(*self.keys).orderBy(SLICE)
 
-    def _cut_points(self, base: DataFrame, hot: DataFrame, slices: int) -> DataFrame:
-        """Ascending slice bounds per hot group, from about ``SAMPLE`` of its rows.
+    def _cut_points(self, rows: DataFrame, slices: int) -> DataFrame:
+        """Ascending slice bounds per group, from about ``SAMPLE`` of its ``_n`` rows.
 
         The sample is picked by row hash, so evaluating this plan again -- for another branch, or after a lost
         executor -- yields the very same bounds, which offsets and local numbers both depend on.
         """
-        hashed = [f.name for f in base.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+        hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
         draw = F.pmod(F.xxhash64(*hashed), F.lit(1 << 30)) < F.lit(float(SAMPLE << 30)) / F.col("_n")
-        inner = base.alias("b").join(F.broadcast(hot.alias("h")), _same_pair(self.keys, "b", "h"))
-        points = F.array_sort(F.collect_set("_cut"))
         bounds = F.transform(F.sequence(F.lit(1), F.lit(slices - 1)),
                              lambda i: F.get("_p", F.floor(F.size("_p") * i / slices).cast("int")))
-        return (inner.select("b.*", "h._n").where(draw).groupBy(*self.keys).agg(points.alias("_p"))
-                .select(*self.keys, F.array_distinct(bounds).alias("_marks")))
+        return (rows.where(draw).groupBy(*self.keys).agg(F.array_sort(F.collect_set("_cut")).alias("_p"))
+                .select(*self.keys, F.array_distinct(F.filter(bounds, lambda m: m.isNotNull())).alias("_marks")))
 
     def _per_slice(self, *aggs: Column) -> DataFrame:
         """One row per (cut group, slice); groups that were not cut need no stitching."""
@@ -73,7 +76,7 @@ class OrderedGroups:
                 .select("l.*", *[F.col(f"o.{c}").alias(c) for c in extra]))
 
     def _tidy(self, df: DataFrame) -> DataFrame:
-        return df.drop(SLICE, "_cut", _EACH, "_before", "_next", "_last")
+        return df.drop(SLICE, "_cut", "_before", "_next", "_last")
 
     def _offsets(self, weight: Column) -> DataFrame:
         before = F.sum("_w").over(self._chain.rowsBetween(Window.unboundedPreceding, -1))
