@@ -47,7 +47,7 @@ class Dialect:
 
     def line_id(self) -> str:
         return ("cast(l_orderkey as string) || '-' || cast(l_partkey as string) || '-' || cast(l_suppkey as string) "
-                "|| '-' || cast(l_linenumber as string)")
+                "|| '-' || cast(l_linenumber as string) || '-' || cast(cast(l_extendedprice as decimal(16,2)) as string)")
 
 
 def sources(dialect: Dialect) -> dict[str, str]:
