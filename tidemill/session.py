@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
@@ -45,9 +48,12 @@ def local_session(cores: str = "8", name: str = "tidemill", shuffle_partitions:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``; a scratch one only where unset (tests)."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``. A scratch one is chosen for a local master only."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidemill-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
@@ -63,3 +69,17 @@ def settled(df: DataFrame, label: str = "settled") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver was started. Once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemill_shipped", False):
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="tidemill-package-")) / "tidemill_package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._tidemill_shipped = True
