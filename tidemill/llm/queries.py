@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import exact_dedup
+from tidemill.llm import exact_dedup, quality, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,33 @@ SQL["op1_exact_dedup"] = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents),
      g as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from d group by text_sha256)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from d join g using (text_sha256)"""
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+SQL["op2_warc"] = r"""
+with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+     h as (select page_id, octet_length(b) as payload_bytes, sha1(b) as hex from p),
+     d as (select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::int, 5))::int >> (5 * (3 - i % 4))::int) & 31), 1)), '') as payload_digest from h),
+     f as (select payload_digest, min(page_id) as first_id from d group by payload_digest)
+select page_id, payload_bytes, payload_digest, case when page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id = first_id then null else first_id end as refers_to
+from d join f using (payload_digest)"""
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's URL. No SQL: the trees decide where no rule fits."""
+    return urls.verdicts(read(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document. No SQL: the scores are a trained model's."""
+    out = quality.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
