@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import exact_dedup, quality, urls, warc
+from tidemill.llm import decontaminate, exact_dedup, quality, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document. No SQL: the scores are a trained model's."""
     out = quality.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item. No SQL: tested against a brute-force version."""
+    out = decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.withColumnsRenamed({"id": "doc_id", "item": "item_id"}).drop("row")

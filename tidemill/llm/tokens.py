@@ -55,6 +55,11 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     hashes: np.ndarray
+    sums: np.ndarray  # running polynomial over the lower-cased bytes
+
+    def hash_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of byte ranges, the same as a word with these bytes has."""
+        return mix((self.sums[ends] - self.sums[starts]) * _powers(len(self.data) + 1)[1][starts])
 
     def __len__(self) -> int:
         return len(self.first) - 1
@@ -85,7 +90,7 @@ def words(data: np.ndarray, bounds: np.ndarray) -> Words:
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTES[low] * power[:n], out=total[1:])
     hashes = mix((total[ends] - total[starts]) * inverse[starts])
-    return Words(data, bounds, np.searchsorted(starts, bounds), starts, ends, hashes)
+    return Words(data, bounds, np.searchsorted(starts, bounds), starts, ends, hashes, total)
 
 
 def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -105,14 +110,29 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         row = stop
 
 
+def word_hash(text: str) -> int:
+    """The hash of one word."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    return int(words(data, np.array([0, len(data)])).hashes[0])
+
+
+def chain(parts: list[np.ndarray]) -> np.ndarray:
+    """One hash for equally long columns of hashes, order included."""
+    h = np.zeros(len(parts[0]), np.uint64)
+    for part in parts:
+        h = mix(h * _U(_INVERSE) + part)
+    return h
+
+
+def places(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of ``k`` words begin that stay inside their text, and the offset of each text's runs."""
+    n, count = int(first[-1]), np.diff(first)
+    begin = np.arange(max(0, n - k + 1))
+    ok = np.repeat(first[1:], count)[:len(begin)] - begin >= k
+    return begin[ok], np.concatenate([[0], np.cumsum(np.maximum(count - k + 1, 0))])
+
+
 def runs(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``k`` words, and the offset of each text's runs; a text of fewer words has none."""
-    n = len(w.hashes)
-    if n < k:
-        return np.zeros(0, np.uint64), np.zeros(len(w) + 1, np.int64)
-    h = np.zeros(n - k + 1, np.uint64)
-    for i in range(k):
-        h = mix(h * _U(_INVERSE) + w.hashes[i:n - k + 1 + i])
-    count = np.diff(w.first)
-    ok = np.repeat(w.first[1:], count)[:n - k + 1] - np.arange(n - k + 1) >= k
-    return h[ok], np.concatenate([[0], np.cumsum(np.maximum(count - k + 1, 0))])
+    begin, offsets = places(w.first, k)
+    return (chain([w.hashes[begin + i] for i in range(k)]) if len(begin) else np.zeros(0, np.uint64)), offsets
