@@ -66,13 +66,11 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows = rows.withColumns({"digest": base32_sha1(F.col("payload")), "bytes": F.octet_length("payload").cast("bigint")})
     light = settled(rows.drop("payload"), "page-digests")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id"))
-    groups = light.where(F.col("bytes") >= least).groupBy("digest").agg(first.alias("first")).select("digest", F.lit(True).alias("grouped"), F.col("first.id").alias("refers_to"))
-    roles = light.join(groups, "digest", "left")
-    repeats = roles.where(F.col("grouped") & ~F.col("id").eqNullSafe(F.col("refers_to")))
-    stays = groups.select(F.col("digest").alias("d"), F.col("refers_to").alias("r"))
-    responses = rows.join(stays, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("r")), "left_semi")
-    if least > 0:
-        responses = responses.where(F.col("bytes") >= least).unionByName(rows.where(F.col("bytes") < least))
+    groups = light.where(F.col("bytes") >= least).groupBy("digest").agg(first.alias("first")).select("digest", F.col("first.id").alias("refers_to"))
+    # written out, so that payload rows are exchanged only if the repeats are too many to send to every task
+    repeats = settled(light.join(groups, "digest").where(~F.col("id").eqNullSafe(F.col("refers_to"))), "repeats")
+    not_first = repeats.select(F.col("digest").alias("d"), F.col("id").alias("i")).distinct()
+    responses = rows.join(not_first, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("i")), "left_anti")
     out = responses.select(_record("response", date)).unionByName(repeats.select(_record("revisit", date)))
     out.write.text(path, lineSep=END)
 
