@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, exact_dedup, quality, urls, warc
+from tidemill.llm import decontaminate, exact_dedup, minhash, quality, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,24 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item. No SQL: tested against a brute-force version."""
     out = decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return out.withColumnsRenamed({"id": "doc_id", "item": "item_id"}).drop("row")
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest id of its group of near-duplicates, over two-word shingles."""
+    out = minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+SQL["op10_minhash"] = r"""
+with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents),
+  s as (select distinct doc_id, unnest(case when len(words) = 0 then []::varchar[] when len(words) = 1 then [words[1]]
+               else list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) end) as shingle from w),
+  n as (select doc_id, count(*) as n from s group by doc_id),
+  pairs as (select a.doc_id as a, b.doc_id as b, count(*) as shared from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+            group by a.doc_id, b.doc_id),
+  links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * shared >= 80 * (x.n + y.n - shared)),
+  reach(doc_id, other) as (select doc_id, doc_id from w union select r.doc_id, l.b from reach r join links l on l.a = r.other),
+  c as (select doc_id, min(other) as component_id from reach group by doc_id)
+select doc_id, coalesce(n.n, 0) as n_shingles, component_id, doc_id = component_id as kept from c left join n using (doc_id)"""
