@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import boosting
 from tidemill.llm.common import lower_ascii, q
+from tidemill.session import settled
 
 #: Verdict per rule (host, path), the rules of the contract.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -78,7 +79,7 @@ def verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ru
     base = base.withColumns({"rule": rule, "by_rule": by_rule, "suffix": F.substring_index("host", ".", -1)})
     seen, allowed = F.count("by_rule"), F.sum(F.when(F.col("by_rule") == "allow", 1).otherwise(0))
     stats = base.groupBy("suffix").agg(F.log1p(F.count(F.lit(1))).alias("suffix_log_count"), ((allowed + 1) / (seen + 2)).alias("suffix_allow_share"))
-    rows = base.join(stats, "suffix").withColumns(_lexical(F.col("url"), F.col("host"), F.col("path")))
+    rows = base.join(settled(stats, "suffixes"), "suffix").withColumns(_lexical(F.col("url"), F.col("host"), F.col("path")))
     labelled = rows.where("by_rule is not null").select(*FEATURES, F.when(F.col("by_rule") == "allow", 1).otherwise(0).alias("label"), F.xxhash64("url").alias("h"))
     model = boosting.fit(labelled.orderBy("h").limit(sample), FEATURES, "label")
     scored = rows.withColumn("score", model.probability())

@@ -66,7 +66,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows = rows.withColumns({"digest": base32_sha1(F.col("payload")), "bytes": F.octet_length("payload").cast("bigint")})
     light = settled(rows.drop("payload"), "page-digests")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id"))
-    groups = light.where(F.col("bytes") >= least).groupBy("digest").agg(first.alias("first")).select("digest", F.col("first.id").alias("refers_to"))
+    groups = light.where(F.col("bytes") >= least).groupBy("digest").agg(first.alias("first"))
+    groups = settled(groups.select("digest", F.col("first.id").alias("refers_to")), "first-pages")
     # written out, so that payload rows are exchanged only if the repeats are too many to send to every task
     repeats = settled(light.join(groups, "digest").where(~F.col("id").eqNullSafe(F.col("refers_to"))), "repeats")
     not_first = repeats.select(F.col("digest").alias("d"), F.col("id").alias("i")).distinct()
@@ -201,8 +202,9 @@ def page_id(urn: Column) -> Column:
 
 def resolved(records: DataFrame) -> DataFrame:
     """Records with the payload size and digest of the response that a revisit refers to; a dangling revisit has nulls."""
-    own = records.select("record_id", "type", "refers_to", "payload_bytes", "payload_digest")
-    there = own.where("type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d")).dropDuplicates(["refers_to"])
+    own = settled(records.select("record_id", "type", "refers_to", "payload_bytes", "payload_digest"), "records")
+    there = own.where("type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d"))
+    there = settled(there.dropDuplicates(["refers_to"]), "responses")
     back = own.where("type = 'revisit'").drop("payload_bytes", "payload_digest").join(there, "refers_to", "left")
     return own.where("type = 'response'").unionByName(back.withColumnsRenamed({"b": "payload_bytes", "d": "payload_digest"}))
 
