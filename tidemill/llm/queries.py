@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, exact_dedup, minhash, quality, urls, warc
+from tidemill.llm import decontaminate, exact_dedup, minhash, quality, secrets, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,12 @@ with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(
   reach(doc_id, other) as (select doc_id, doc_id from w union select r.doc_id, l.b from reach r join links l on l.a = r.other),
   c as (select doc_id, min(other) as component_id from reach group by doc_id)
 select doc_id, coalesce(n.n, 0) as n_shingles, component_id, doc_id = component_id as kept from c left join n using (doc_id)"""
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document. No SQL: the Markov models add spans."""
+    out = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x.kind == kind)).cast("bigint").alias(f"n_{kind}")
+    base = F.filter("spans", lambda x: x.kind != "markov")
+    return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
