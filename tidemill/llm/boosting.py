@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -34,11 +35,11 @@ class Boosted:
     trees: tuple[tuple[float, "Leaf | Split"], ...]
     prior: float = 0.5
 
-    def probability(self) -> Column:
-        """P(label = 1) from columns named as the features; null features count as 0."""
+    def probability(self, column: Callable[[str], Column] = F.col) -> Column:
+        """P(label = 1) from columns named as the features (or what ``column`` makes of the names); null features count as 0."""
         if not self.trees:
             return F.lit(float(self.prior))
-        columns = [F.coalesce(F.col(f), F.lit(0.0)) for f in self.features]
+        columns = [F.coalesce(column(f), F.lit(0.0)) for f in self.features]
         margin = sum((F.lit(w) * _column(tree, columns) for w, tree in self.trees), F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * margin))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, exact_dedup, minhash, quality, secrets, urls, warc
+from tidemill.llm import decontaminate, exact_dedup, minhash, pii, quality, secrets, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("spans", lambda x: x.kind == kind)).cast("bigint").alias(f"n_{kind}")
     base = F.filter("spans", lambda x: x.kind != "markov")
     return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document. No SQL: the trees add spans."""
+    out = pii.find(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x.kind == kind)).cast("bigint").alias(f"n_{kind}")
+    return out.select(F.col("id").alias("doc_id"), *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
