@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, exact_dedup, minhash, pii, quality, secrets, urls, warc
+from tidemill.llm import bpe, decontaminate, exact_dedup, minhash, pii, quality, secrets, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +106,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda x: x.kind == kind)).cast("bigint").alias(f"n_{kind}")
     return out.select(F.col("id").alias("doc_id"), *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded. No SQL: tested against the library."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), bpe.ids_digest("ids").alias("ids_sha256"), F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
