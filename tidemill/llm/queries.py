@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, decontaminate, exact_dedup, minhash, pii, quality, secrets, urls, warc
+from tidemill.llm import bpe, decontaminate, exact_dedup, licenses, minhash, pii, quality, secrets, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +115,15 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     out = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), bpe.ids_digest("ids").alias("ids_sha256"), F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, its path being source/language/hundred/id. No SQL: tested against a brute-force version."""
+    docs = read(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    out = licenses.scan(docs.select("doc_id", path.alias("path"), "text"), "doc_id", "path")
+    return out.withColumnRenamed("id", "doc_id")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
