@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.ordered import OrderedGroups
+from tidemill.operators.ordered import OrderedGroups, falling, rising
 from tidemill.operators.quantiles import quantile_edges, quintile_scores
 
 
@@ -21,7 +21,7 @@ def same(a, b, cols):
 
 
 def groups(rows, order=None):
-    return OrderedGroups(rows, ["k"], order or [F.col("v"), F.col("id")], F.col("v"), share=8, slices=16)
+    return OrderedGroups(rows, ["k"], order or [F.col("v"), F.col("id")], F.col("v"), share=8, slices=64, least=8)
 
 
 def by_v():
@@ -38,11 +38,28 @@ def test_previous(rows):
 
 
 def test_rank_with_ties(rows):
-    got = OrderedGroups(rows, ["k"], [F.col("v").desc()], -F.col("v"), share=8, slices=16).rank()
+    got = OrderedGroups(rows, ["k"], [F.col("v").desc()], -F.col("v"), share=8, slices=64, least=8).rank()
     want = rows.withColumn("rk", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc())).cast("bigint"))
     assert same(got, want, ["id", "rk"])
 
 
+@pytest.mark.parametrize("down", [False, True])
+@pytest.mark.parametrize("blocks", [128, 4])
+def test_nulls_and_nan_in_the_value_of_a_cut_group(spark, monkeypatch, down, blocks):
+    """Null, NaN and infinite values keep their places, in both directions."""
+    monkeypatch.setattr("tidemill.operators.ordered.BLOCK", blocks)
+    df = spark.range(8000).selectExpr("id", "id % 2 as k", """cast(case when id % 10 = 3 then null when id % 11 = 5 then double('NaN') when id % 97 = 1 then double('Infinity')
+        when id % 89 = 1 then double('-Infinity') else (id * 7919) % 500 - 250 end as double) as v""").cache()
+    order = F.col("v").desc() if down else F.col("v").asc()
+    groups = OrderedGroups(df, ["k"], [order], falling(F.col("v")) if down else rising(F.col("v")), share=8, slices=64, least=8)
+    assert groups.sliced.select("k", "_slice").distinct().count() > 30
+    want = df.withColumn("rk", F.rank().over(Window.partitionBy("k").orderBy(order)).cast("bigint"))
+    assert same(groups.rank(), want, ["id", "rk"])
+    tied = [order, F.col("id")]
+    numbered = OrderedGroups(df, ["k"], tied, falling(F.col("v")) if down else rising(F.col("v")), share=8, slices=64, least=8).row_number()
+    assert same(numbered, df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*tied)).cast("bigint")), ["id", "rn"])
+
+
 def test_running(rows):
     span = by_v().rowsBetween(Window.unboundedPreceding, -1)
     assert same(groups(rows).running_max("id", "m"), rows.withColumn("m", F.max("id").over(span)), ["id", "m"])

@@ -2,9 +2,10 @@
 
 A plain window sorts a whole group inside one task. Here a group holding more than ``1/SHARE`` of all rows is cut
 into value slices first: row numbers, ranks and neighbours are computed per slice by an ordinary window and
-stitched together by per-slice offsets. By pigeonhole at most ``SHARE`` groups can be that large, so every table
-joined back has at most ``SHARE * SLICES`` rows -- that bound, not a guess, is what allows the broadcasts.
-Results equal the plain window for every input.
+stitched together by per-slice offsets. Slices are dealt out in proportion to a group's rows, about ``SLICES`` in all, so a
+slice holds about ``1/SLICES`` of all rows whatever the size of its group. By pigeonhole at most ``SHARE`` groups are cut, so
+every table joined back has at most ``SHARE + SLICES`` rows -- that bound, not a guess, is what allows the broadcasts.
+Results equal the plain window for every input, nulls and NaN in the order keys included.
 """
 
 from __future__ import annotations
@@ -15,55 +16,77 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
-SHARE = 64     # a group above 1/64 of all rows is cut
-SLICES = 128   # into about this many slices
-SAMPLE = 8192  # rows drawn per cut group to place the slice bounds
+SHARE = 4096    # a group above this part of all rows is cut
+SLICES = 16384  # slices of all cut groups together, about
+LEAST = 100_000  # a smaller group is never cut
+DRAW = 16       # rows drawn per slice to place the slice bounds
+BLOCK = 128     # slice bounds looked through at once
 SLICE = "_slice"
 
 
+def rising(value: Column) -> Column:
+    """The ``cut`` for ascending order: nulls come first, NaN last."""
+    v = value.cast("double")
+    return F.coalesce(F.nanvl(v, F.lit(float("inf"))), F.lit(float("-inf")))
+
+
+def falling(value: Column) -> Column:
+    """The ``cut`` for descending order: NaN comes first, nulls last."""
+    v = value.cast("double")
+    return F.coalesce(-F.nanvl(v, F.lit(float("inf"))), F.lit(float("inf")))
+
+
 class OrderedGroups:
     """``df`` grouped by ``keys`` and ordered by ``order``.
 
-    ``cut`` is a numeric expression that never decreases along ``order`` (the first order key, or its epoch
-    value, negated when descending); rows with equal ``cut`` always share a slice, so ties are never torn apart.
+    ``cut`` is a numeric expression that never decreases along ``order``: ``rising`` or ``falling`` of the first order key (or
+    of its epoch value). Rows with equal ``cut`` always share a slice, so ties are never torn apart.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column], cut: Column,
-                 share: int = SHARE, slices: int = SLICES):
+                 share: int = SHARE, slices: int = SLICES, least: int = LEAST):
         self.keys, self.order = list(keys), list(order)
-        base = df.withColumn("_cut", cut.cast("double"))
+        base = df.withColumn("_cut", rising(cut))
         total = base.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-        slice_of = F.size(F.filter("_marks", lambda m: m < F.coalesce("_cut", F.lit(float("-inf")))))
+        # the block that holds the bound, then the bound within it
+        at = F.size(F.filter("_marks", lambda block: block[0] < F.col("_cut")))
+        inside = F.size(F.filter(F.get("_marks", at - 1), lambda m: m < F.col("_cut")))
+        slice_of = F.when(at == 0, F.lit(0)).otherwise((at - 1) * BLOCK + inside)
         if not self.keys:
             # everything is one group: its slice bounds are a single value, no join needed
-            marks = self._cut_points(base.withColumn("_n", total), slices).select("_marks").scalar()
+            marks = self._cut_points(base.withColumn("_n", total), total, slices, least).select("_marks").scalar()
+            marks = F.coalesce(marks, F.array().cast("array<array<double>>"))
             self.sliced = base.withColumn("_marks", marks).withColumn(SLICE, slice_of).drop("_marks")
         else:
             hot = (base.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
-                   .where(F.col("_n") * share > total))
+                   .where((F.col("_n") * share > total) & (F.col("_n") > least)))
             inner = base.alias("b").join(F.broadcast(hot.alias("h")), _same_pair(self.keys, "b", "h"))
-            splits = self._cut_points(inner.select("b.*", "h._n"), slices)
+            splits = self._cut_points(inner.select("b.*", "h._n"), total, slices, least)
             self.sliced = (
                 base.alias("b")
                 .join(F.broadcast(splits.alias("s")), _same_pair(self.keys, "b", "s"), "left")
                 .withColumn(SLICE, F.when(F.col("_marks").isNull(), F.lit(-1)).otherwise(slice_of))
                 .select(*[F.col(f"b.{c}").alias(c) for c in base.columns], SLICE))
         self.local = Window.partitionBy(*self.keys, SLICE).orderBy(*self.order)
-        # runs over per-slice rows only, at most SHARE * SLICES of them
+        # runs over per-slice rows only, at most SHARE + SLICES of them
         self._chain = Window.partitionBy(*self.keys).orderBy(SLICE)
 
-    def _cut_points(self, rows: DataFrame, slices: int) -> DataFrame:
-        """Ascending slice bounds per group, from about ``SAMPLE`` of its ``_n`` rows.
+    def _cut_points(self, rows: DataFrame, total: Column, slices: int, least: int) -> DataFrame:
+        """Ascending slice bounds per group in blocks, from about ``DRAW`` of its ``_n`` rows per slice.
 
         The sample is picked by row hash, so evaluating this plan again -- for another branch, or after a lost
         executor -- yields the very same bounds, which offsets and local numbers both depend on.
         """
         hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-        draw = F.pmod(F.xxhash64(*hashed), F.lit(1 << 30)) < F.lit(float(SAMPLE << 30)) / F.col("_n")
-        bounds = F.transform(F.sequence(F.lit(1), F.lit(slices - 1)),
-                             lambda i: F.get("_p", F.floor(F.size("_p") * i / slices).cast("int")))
-        return (rows.where(draw).groupBy(*self.keys).agg(F.array_sort(F.collect_set("_cut")).alias("_p"))
-                .select(*self.keys, F.array_distinct(F.filter(bounds, lambda m: m.isNotNull())).alias("_marks")))
+        pieces = F.ceil(F.least(F.col("_n") * F.lit(float(slices)) / total, F.greatest(F.col("_n") / max(least / 8, 1), F.lit(8.0)))).cast("int")
+        rows = rows.withColumn("_pieces", F.greatest(pieces, F.lit(2)))
+        draw = F.pmod(F.xxhash64(*hashed), F.lit(1 << 30)) < F.col("_pieces") * F.lit(float(DRAW << 30)) / F.col("_n")
+        bounds = F.transform(F.sequence(F.lit(1), F.col("_pieces") - 1),
+                             lambda i: F.get("_p", F.floor(F.size("_p") * i / F.col("_pieces")).cast("int")))
+        marks = F.array_distinct(F.filter(bounds, lambda m: m.isNotNull()))
+        blocks = F.when(F.size("_m") > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size("_m") - 1) / BLOCK).cast("int")), lambda i: F.slice("_m", i * BLOCK + 1, BLOCK)))
+        return (rows.where(draw).groupBy(*self.keys).agg(F.array_sort(F.collect_set("_cut")).alias("_p"), F.first("_pieces").alias("_pieces"))
+                .select(*self.keys, marks.alias("_m")).select(*self.keys, F.coalesce(blocks, F.array().cast("array<array<double>>")).alias("_marks")))
 
     def _per_slice(self, *aggs: Column) -> DataFrame:
         """One row per (cut group, slice); groups that were not cut need no stitching."""
