@@ -17,6 +17,7 @@ from tidemill.session import prepare
 _SPARK_SOURCES = sources(Dialect(spark=True))
 _DUCK_SOURCES = sources(Dialect(spark=False))
 
+_CLOCKS = {"order": ("orders", "o_orderdate"), "event": ("events", "ts")}
 Job = Callable[["Tables", str], DataFrame]
 
 
@@ -36,11 +37,16 @@ class Tables(Mapping):
     def d(self, clock: str) -> str:
         """Run date of a clock: the last order day or the last event day, one aggregated value."""
         if clock not in self._dates:
-            table, col = {"order": ("orders", "o_orderdate"), "event": ("events", "ts")}[clock]
+            table, col = _CLOCKS[clock]
             last: dt.datetime = self.given(table).agg(F.max(col).alias("m")).first().m
             self._dates[clock] = last.date().isoformat()
         return self._dates[clock]
 
+    def first(self, clock: str) -> str:
+        """First day of a clock."""
+        table, col = _CLOCKS[clock]
+        return self.given(table).agg(F.min(col).alias("m")).first().m.date().isoformat()
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._extra:
             self._extra[name] = self._build(name)

@@ -413,8 +413,8 @@ def sources(dialect: Dialect) -> dict[str, str]:
         "log_events": f"""
             select event_id, event_type as kind, cast(user_id as string) as mid,
                    case when user_id % 5 > 0 then cast(user_id as string) end as uid,
-                   'v' || cast(user_id % 3 as string) as vc, 'ch' || cast(user_id % 4 as string) as ch,
-                   'ar' || cast(user_id % 6 as string) as ar, cast(user_id % 2 as string) as is_new,
+                   'v' || cast(event_id % 3 as string) as vc, 'ch' || cast(event_id % 4 as string) as ch,
+                   'ar' || cast(event_id % 6 as string) as ar, cast(user_id % 2 as string) as is_new,
                    case event_type when 'view' then 'home' when 'click' then 'good_detail' when 'purchase' then 'search'
                         else 'cart' end as page_id,
                    case event_type when 'view' then '' when 'click' then 'login' when 'purchase' then 'search'

@@ -352,7 +352,7 @@ DAY = "ts // 86400000"
 REG.query("R13_page_view_window", lambda t: done(metrics.page_views(pages(t)), "views"), f"""
 select {win('ts', 10)}, vc, ch, ar, is_new, cast(sum(uv) as bigint) as uv_ct, cast(sum(sv) as bigint) as sv_ct,
   count(*) as pv_ct, cast(sum(during_time) as bigint) as dur_sum from (
-  select *, if(row_number() over (partition by mid, {DAY} order by ts) = 1, 1, 0) as uv,
+  select *, if(row_number() over (partition by mid, {DAY} order by ts, vc, ch, ar, is_new) = 1, 1, 0) as uv,
     if(coalesce(last_page_id, '') = '', 1, 0) as sv from page_log) group by all""")
 REG.query("R14_home_detail_page_view", lambda t: done(metrics.home_detail_visitors(pages(t)), "homes"), f"""
 select {win('ts', 5)}, count(*) filter (where page_id = 'home') as home_uv_ct,
@@ -471,10 +471,9 @@ select {win('ts', 3600)}, sku_name, count(distinct user_id) as uv_cnt from dwd_d
 
 # ---------------------------------------------------------------- R24 moderation, X17 - X19 duplicate filters
 def words(t: Tables) -> DataFrame:
-    """The listed words: the most frequent last tokens of the comments, taken from the data."""
+    """The listed words: every last token that two or more comments share."""
     last = F.element_at(F.split("comment_txt", ","), -1)
-    seen = t["chg_comment_info"].groupBy(last.alias("word")).count()
-    return seen.orderBy(F.col("count").desc(), "word").limit(20).select("word")
+    return t["chg_comment_info"].groupBy(last.alias("word")).count().where("count > 1").select("word")
 
 
 REG.query("R24_comment_moderation", lambda t: micro(
@@ -483,7 +482,7 @@ REG.query("R24_comment_moderation", lambda t: micro(
 select id, ts_ms as ts, if(w.word is null, 0, 1) as is_violation, if(w.word is null, null, 'P0') as violation_grade,
   w.word as violation_msg
 from (select *, string_split(comment_txt, ',')[-1] as lst from chg_comment_info) c left join (
-  select string_split(comment_txt, ',')[-1] as word from chg_comment_info group by 1 order by count(*) desc, 1 limit 20) w
+  select string_split(comment_txt, ',')[-1] as word from chg_comment_info group by 1 having count(*) > 1) w
 on lst = w.word""")
 
 

@@ -47,15 +47,15 @@ def keyword_views(pages: DataFrame, width: str = "3 days") -> DataFrame:
 def page_views(pages: DataFrame, width: str = "10 seconds") -> DataFrame:
     """(version, channel, area, new flag): unique visitors, sessions, views, time.
 
-    Views, sessions and time come from every event; the visitor counts once, in the window of the first event of the
-    day. Both parts meet in one window aggregate.
+    Views, sessions and time come from every event; the visitor counts once a day, in the window and under the attributes
+    of the first event of the day. Both parts meet in one window aggregate.
     """
     keys = ["vc", "ch", "ar", "is_new"]
     flat = pages.where(live(F.col("page").isNotNull())).select(
         F.col("common.mid").alias("mid"), *[F.col(f"common.{k}") for k in keys], "event_time",
         (F.coalesce(F.col("page.last_page_id"), F.lit("")) == "").cast("int").alias("sv"),
         F.coalesce("page.during_time", F.lit(0)).alias("dur"))
-    visits = first_of_day(flat, ["mid", *keys], width)
+    visits = first_of_day(flat.select("mid", *keys, "event_time"), ["mid"], width, carry=keys)
     uv = visits.select(*keys, "event_time", F.lit(1).alias("uv_ct"), F.lit(0).alias("sv_ct"), F.lit(0).alias("pv_ct"),
                        F.lit(0).cast("bigint").alias("dur_sum"))
     views = flat.select(*keys, "event_time", F.lit(0).alias("uv_ct"), F.col("sv").alias("sv_ct"),

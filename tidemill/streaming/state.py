@@ -36,37 +36,41 @@ def once_per_window(df: DataFrame, keys: Sequence[str], grain: str, time: str =
 class DayMemory(StatefulProcessor):
     """First event of each key's day, with what the key's past says about it.
 
-    Emits key, event time, ``is_first`` (never seen before) and ``gap_days`` since the last active day (null when
-    there is none). Keeps the very first day, the last day and the most recent days.
+    Emits key, event time, ``is_first`` (nothing of the key was seen before), ``gap_days`` since the active day before it
+    (null when there is none) and the carried columns of that first event. Keeps the days that the watermark still lets in, and
+    the last one before them.
     """
 
-    KEEP_DAYS = 3
+    def __init__(self, carry: Sequence[str] = ()):
+        self.carry = list(carry)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.days = handle.getMapState("days", "day int", "seen int")
         self.last = handle.getValueState("last", "day int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best: dict[int, pd.Timestamp] = {}
+        best: dict[int, tuple] = {}
         for pdf in rows:
+            pdf = pdf.sort_values("event_time", kind="stable")
             day = (pdf["event_time"].dt.floor("D") - pd.Timestamp(0)) // pd.Timedelta(days=1)
-            for d, ts in pdf["event_time"].groupby(day).min().items():
-                if d not in best or ts < best[d]:
-                    best[int(d)] = ts
-        last = self.last.get()[0] if self.last.exists() else None
+            for d, at in pdf.groupby(day).head(1).assign(_day=day).set_index("_day")[["event_time", *self.carry]].iterrows():
+                if d not in best or at["event_time"] < best[d][0]:
+                    best[int(d)] = tuple(at)
+        closed = self.last.get()[0] if self.last.exists() else None  # the last day that no row can reach any more
+        known = {d for (d,) in self.days.keys()}
         out = []
-        for d in sorted(best):
-            if self.days.containsKey((d,)):
-                continue
+        for d in sorted(best.keys() - known):
+            before = max((x for x in (*known, closed) if x is not None and x < d), default=None)
+            out.append((*key, best[d][0], 0 if known or closed is not None else 1, None if before is None else d - before, *best[d][1:]))
+            known.add(d)
             self.days.updateValue((d,), (1,))
-            out.append((*key, best[d], 1 if last is None else 0, None if last is None else d - last))
-            last = d if last is None else max(d, last)
+        gone = [d for d in known if d < timerValues.getCurrentWatermarkInMs() // 86_400_000]
+        if gone:
+            self.last.update((max([*gone, *([] if closed is None else [closed])]),))
+            for d in gone:
+                self.days.removeKey((d,))
         if out:
-            self.last.update((last,))
-            for (d,) in list(self.days.keys()):
-                if d < last - self.KEEP_DAYS:
-                    self.days.removeKey((d,))
-            frame = pd.DataFrame(out, columns=[*self.key_names(len(key)), "event_time", "is_first", "gap_days"])
+            frame = pd.DataFrame(out, columns=[*self.key_names(len(key)), "event_time", "is_first", "gap_days", *self.carry])
             frame["gap_days"] = frame["gap_days"].astype("Int64")
             yield frame
 
@@ -78,16 +82,27 @@ class DayMemory(StatefulProcessor):
         pass
 
 
-def first_of_day(df: DataFrame, keys: Sequence[str], grain: str) -> DataFrame:
+def first_of_day(df: DataFrame, keys: Sequence[str], grain: str, carry: Sequence[str] = ()) -> DataFrame:
     """First event per key and day as a stream (X12); ``is_first`` and ``gap_days`` serve X13 and X14.
 
-    ``grain`` is the window the result will be counted in; the event time is exact to that window.
+    ``grain`` is the window the result will be counted in; the event time is exact to that window. ``carry`` columns are
+    those of the first event.
     """
-    thin = once_per_window(df.select(*keys, "event_time"), keys, grain).select(
-        *keys, F.window_time("_w").alias("event_time"))
+    if carry:
+        # the earliest row of each window, ties by the carried columns; a hot key is spread over salts first
+        least = F.min(F.struct("event_time", *carry)).alias("_f")
+        salt = F.pmod(F.xxhash64("event_time", *carry), F.lit(SALTS)).alias("_salt")
+        parts = df.groupBy(F.window("event_time", grain).alias("_w"), *keys, salt).agg(least)
+        parts = parts.withColumn("event_time", F.window_time("_w"))
+        once = parts.groupBy(F.window("event_time", grain).alias("_w"), *keys).agg(F.min("_f").alias("_f"))
+        thin = once.select(*keys, F.window_time("_w").alias("event_time"), *[F.col(f"_f.{c}").alias(c) for c in carry])
+    else:
+        thin = once_per_window(df.select(*keys, "event_time"), keys, grain).select(
+            *keys, F.window_time("_w").alias("event_time"))
     named = ", ".join(f"k{i} {t}" for i, (_, t) in enumerate(thin.select(*keys).dtypes))
+    carried = "".join(f", {c} {t}" for c, t in thin.select(*carry).dtypes) if carry else ""
     out = thin.groupBy(*keys).transformWithStateInPandas(
-        DayMemory(), f"{named}, event_time timestamp, is_first int, gap_days bigint", "append", "eventTime",
+        DayMemory(carry), f"{named}, event_time timestamp, is_first int, gap_days bigint{carried}", "append", "eventTime",
         eventTimeColumnName="event_time")
     return out.withColumnsRenamed({f"k{i}": k for i, k in enumerate(keys)})
 
