@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, and two character Markov models for what the patterns miss.
 
 The models are first-order chains over the characters of tokens. The one of random strings learns from the values that the patterns
-find, the one of ordinary text from all other token characters; both count over all texts. A long token whose log-likelihood ratio
+find, the one of ordinary text from all shorter tokens; both count over all texts. A long token whose log-likelihood ratio
 says "random" becomes a span of kind ``markov``, unless it touches a span of a pattern.
 
 Positions are code points, the end is exclusive. Defined cases: null text counts as empty; a text without finds has no spans; without any
@@ -29,7 +29,9 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST_VALUE = 8
 KINDS = ("assign", "access", "hex", "markov")
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LONG = 20  # characters from which a token is judged
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LONG)
+PRIOR = 20.0  # pairs that the shares of single symbols count for
 MARGIN = 12.0  # nats by which a token must look more random than ordinary
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 SYMBOLS = len(ALPHABET)
@@ -59,15 +61,22 @@ def _pairs(data: np.ndarray) -> np.ndarray:
     return np.bincount(a[ok] * SYMBOLS + b[ok], minlength=SYMBOLS * SYMBOLS)
 
 
+def _joined(values: list[str]) -> np.ndarray:
+    return _pairs(np.frombuffer(" ".join(values).encode(), np.uint8))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(random, a, n) rows: pairs of symbols in found values, and in everything else."""
+    """(random, pair, n) rows: pairs of symbols in found values, and in ordinary tokens."""
     for batch in batches:
-        found = [v.encode() for t in batch.column(0).to_pylist() if t for *_, v in by_pattern(t)]
-        random = _pairs(np.frombuffer(b" ".join(found), np.uint8))
+        texts = [t for t in batch.column(0).to_pylist() if t]
+        found = [v for t in texts for *_, v in by_pattern(t)]
+        random = _joined(found)
+        # long tokens are what is to be judged, so they count for neither model unless a pattern found them
+        judged = _joined([v for v in found if len(v) < LONG]) + _joined([v for t in texts for v in TOKEN.findall(t)])
         every = np.zeros_like(random)
         for _, _, data, _ in tokens.chunks(batch.column(0)):
             every += _pairs(data)
-        for flag, counts in ((True, random), (False, np.maximum(every - random, 0))):
+        for flag, counts in ((True, random), (False, np.maximum(every - judged, 0))):
             at = np.flatnonzero(counts)
             yield pa.record_batch({"random": pa.array([flag] * len(at), pa.bool_()), "pair": pa.array(at, pa.int32()), "n": pa.array(counts[at], pa.int64())})
 
@@ -79,10 +88,14 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     got = rows.toArrow()
     for flag in (True, False):
         mine = got.filter(pa.compute.equal(got["random"], flag))
-        counts = np.ones(SYMBOLS * SYMBOLS)  # one of each beforehand: without samples all pairs are equally likely
+        counts = np.zeros(SYMBOLS * SYMBOLS)
         counts[mine["pair"].to_numpy()] += mine["n"].to_numpy()
         square = counts.reshape(SYMBOLS, SYMBOLS)
-        logs.append(np.log(square / square.sum(1, keepdims=True)))
+        # every row leans on how often the symbols occur at all, and these on equal shares
+        single = (square.sum(0) + 1) / (square.sum() + SYMBOLS)
+        chain = (square + PRIOR * single) / (square.sum(1, keepdims=True) + PRIOR)
+        # half of the random strings count as made of all symbols alike, as the found ones may be of few kinds
+        logs.append(np.log((chain + 1 / SYMBOLS) / 2 if flag else chain))
     return logs[0] - logs[1]
 
 
