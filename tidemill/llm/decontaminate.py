@@ -26,7 +26,7 @@ from tidemill.session import settled
 WINDOW = 5
 COVER = 0.8  # share of an item's windows
 AGREE = 0.8  # share of slot values that follow one mapping
-LITERALS = 3  # of a window's words; with fewer its words must match, not just its template
+LITERALS = 2  # of a window's words; with fewer its template alone says too little
 SLOTS = 1 << 22  # size of the table that filters document windows before the join
 
 # Words that stand for numbers, and units.
@@ -96,7 +96,8 @@ def canonical(w: tokens.Words, original: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, words in the text, position, key, slot values) of all windows; slot values are 0 for literal words."""
+    """(text, words in the text, position, key, slot values) of all windows: once by their words, with no slots, and those with
+    placeholders and enough literal words again by their template; slot values are 0 for literal words."""
     for low, _, data, bounds in tokens.chunks(texts):
         w = tokens.words(folded(data), bounds)
         value, kind = canonical(w, data)
@@ -107,9 +108,13 @@ def windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.ndarray, np.
             begin, _ = tokens.places(w.first, k)
             if len(begin):
                 at = begin[:, None] + np.arange(k)
-                literal = (kind[at] == 0).sum(1) >= min(k, LITERALS)
-                key = np.where(literal, tokens.chain([template[begin + i] for i in range(k)]), ~tokens.chain([value[begin + i] for i in range(k)]))
-                yield low + owner[begin], count[owner[begin]], begin - w.first[owner[begin]], tokens.mix(key + np.uint64(k)), slot[at]
+                place = low + owner[begin], count[owner[begin]], begin - w.first[owner[begin]]
+                yield *place, tokens.mix(tokens.chain([value[begin + i] for i in range(k)]) + np.uint64(k)), np.zeros((len(begin), k), np.uint64)
+                literal = (kind[at] == 0).sum(1)
+                begin = begin[(literal < k) & (literal >= min(k, LITERALS))]
+                if len(begin):
+                    place = low + owner[begin], count[owner[begin]], begin - w.first[owner[begin]]
+                    yield *place, tokens.mix(~tokens.chain([template[begin + i] for i in range(k)]) + np.uint64(k)), slot[begin[:, None] + np.arange(k)]
 
 
 _DDL = "id long, row long, words int, pos int, key long, slots array<long>"
