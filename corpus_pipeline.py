@@ -47,7 +47,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN)
     return ids.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", bpe.ids_digest("ids").alias("ids_sha256"),
-                      F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+                      F.sha2(bpe.decoder(path)(F.col("ids")), 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality", keep_quality), ("exact_dedup", drop_exact_copies), ("near_dedup", drop_near_copies),

@@ -1,8 +1,8 @@
 """Byte-level BPE: encoding by a rank file, and decoding.
 
 A text is cut into words by the vocabulary's pattern; the merges of a word depend on the word alone. They are folded by Spark's
-higher-order functions over the word's bytes: in each step the neighbours whose joined bytes have the lowest rank are joined, until no
-pair has a rank. The rank map is a literal, split into small maps by a checksum so that a look-up costs the same for any size.
+higher-order functions over the word's bytes: in each step the first neighbours whose joined bytes have the lowest rank are joined, until
+no pair has a rank. The rank map is a literal, split into small maps by a checksum so that a look-up costs the same for any size.
 
 Words are folded once per corpus if they are among its most frequent (a table of at most ``FREQUENT`` words, found by counting all
 words), else once per text that has them. The table only saves work: ids are the same with any table.
@@ -11,16 +11,17 @@ Bytes are handled as strings of the characters 0 to 255. Words of more than ``LO
 quadratic in the word's length.
 
 Defined cases: null text counts as empty and has no ids; decoding null or no ids gives no bytes; ids outside the vocabulary decode to
-nothing; an empty table gives no rows; repeated rows are each encoded; extra columns stay.
+nothing; an empty table gives no rows; repeated rows are each encoded; extra columns stay, but for one named as the result.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import itertools
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,13 +29,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
-from tidemill.llm.common import q, unused
+from tidemill.llm.common import q
 from tidemill.session import settled
 
-BUCKETS = 8192
-FREQUENT = 1 << 18
+BUCKETS = 1 << 13  # small maps that the rank map is split into, a power of two
+FREQUENT = 1 << 19
 LONG = 256
 # Fixed value: the white space of the pattern's \s (Unicode White_Space), which differs between regex libraries.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -63,14 +64,6 @@ def rank_literal(ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
 
 
-def piece_literal(ranks: dict[bytes, int]) -> Column:
-    """array<string>: the bytes of every id."""
-    pieces = [""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        pieces[rank] = _latin(token)
-    return F.from_json(F.lit(json.dumps(pieces)), "array<string>")
-
-
 def _bound(value: Column, body) -> Column:
     """``body(value)`` with the value computed once."""
     return F.transform(F.array(value), body)[0]
@@ -78,37 +71,40 @@ def _bound(value: Column, body) -> Column:
 
 def word_ids(word: Column, ranks: Column) -> Column:
     """array<int>: the ids of one word, by folding the ranked merges over its bytes."""
-    def rank(token: Column) -> Column:
-        return F.element_at(F.get(ranks, F.pmod(F.crc32(F.encode(token, "UTF-8")), F.lit(BUCKETS)).cast("int")), token)
+    return _bound(ranks, lambda table: _folded(word, table))  # bound: the plan holds the literal once
 
-    def step(state: Column, _: Column) -> Column:
-        n = F.size(state.symbols)
 
-        def joined(pairs: Column) -> Column:
-            def by_lowest(low: Column) -> Column:
-                def is_low(i: Column) -> Column:
-                    return F.coalesce(F.get(pairs, i) == low, F.lit(False))
+def _folded(word: Column, ranks: Column) -> Column:
+    def rank(token: Column) -> Column:
+        return F.element_at(F.get(ranks, F.crc32(token.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")), token)
 
-                def joins(i: Column) -> Column:
-                    return is_low(i) & ~is_low(i - 1)
+    def ranked(left: Column, right: Column, there: Column) -> Column:
+        """The rank of a pair as an array of one, or no element."""
+        return F.when(there, F.array(rank(F.concat(left, right)))).otherwise(F.array().cast("array<int>"))
 
-                def symbol(i: Column) -> Column:
-                    own = F.get(state.symbols, i)
-                    return F.when(joins(i), F.concat(own, F.get(state.symbols, i + 1))).when(joins(i - 1), F.lit(None)).otherwise(own)
+    def step(state: Column, _: Column) -> Column:
+        """Join the first pair of the lowest rank; only the two pairs that the new token enters are looked up."""
+        symbols, pairs = state.symbols, state.pairs
+        n = F.size(symbols)
 
-                after = F.filter(F.transform(F.sequence(F.lit(0), n - 1), symbol), lambda s: s.isNotNull())
-                return F.when(low.isNull(), F.struct(state.symbols.alias("symbols"), F.lit(True).alias("done"))).otherwise(
-                    F.struct(after.alias("symbols"), F.lit(False).alias("done")))
+        def at(p: Column) -> Column:
+            def joined(token: Column) -> Column:
+                after = F.concat(F.slice(symbols, F.lit(1), p - 1), F.array(token), F.slice(symbols, p + 2, n))
+                ranks_after = F.concat(F.slice(pairs, F.lit(1), F.greatest(p - 2, F.lit(0))), ranked(F.get(symbols, p - 2), token, p > 1),
+                                       ranked(token, F.get(symbols, p + 1), p + 1 < n), F.slice(pairs, p + 2, n))
+                return F.struct(after.alias("symbols"), ranks_after.alias("pairs"))
 
-            return _bound(F.array_min(pairs), by_lowest)
+            return F.when(p == 0, state).otherwise(_bound(F.concat(F.get(symbols, p - 1), F.get(symbols, p)), joined))
 
-        pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank(F.concat(F.get(state.symbols, i), F.get(state.symbols, i + 1))))
-        return F.when(state.done | (n < 2), state).otherwise(_bound(pairs, joined))
+        return _bound(F.coalesce(F.array_position(pairs, F.array_min(pairs)), F.lit(0)).cast("int"), at)
 
     def folded(latin: Column) -> Column:
-        start = F.struct(F.split(latin, "(?!^)").alias("symbols"), F.lit(False).alias("done"))
-        all_ = F.aggregate(F.sequence(F.lit(1), F.length(latin)), start, step, lambda s: s.symbols)
-        return F.coalesce(F.transform(F.array(rank(latin)), lambda r: F.when(r.isNotNull(), F.array(r)))[0], F.transform(all_, rank))
+        def merged(letters: Column) -> Column:
+            pairs = F.zip_with(F.slice(letters, F.lit(1), F.size(letters) - 1), F.slice(letters, F.lit(2), F.size(letters)), lambda x, y: rank(F.concat(x, y)))
+            start = F.struct(letters.alias("symbols"), pairs.alias("pairs"))
+            return F.transform(F.aggregate(F.sequence(F.lit(1), F.size(letters)), start, step, lambda s: s.symbols), rank)
+
+        return _bound(rank(latin), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(_bound(F.split(latin, "(?!^)"), merged)))
 
     return _bound(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), folded)
 
@@ -165,7 +161,7 @@ class _Texts:
         if not self.known:
             self.known = {w: i for i, w in enumerate(self.words)}
         for batch in batches:
-            cuts = [self.cut(t or "") for t in batch.column(batch.schema.get_field_index(batch.schema.names[-1])).to_pylist()]
+            cuts = [self.cut(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
             offsets = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             every = [r for c in cuts for r in c[0]]
             inner = pa.ListArray.from_arrays(offsets([len(r) for r in every]), pa.array(np.concatenate([np.zeros(0, np.int32), *every])))
@@ -196,10 +192,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", nam
     known = frequent_words(q(text_col).cast("string"), docs, explicit(pattern).replace("\\x85", "\\u0085").replace("\\xa0", "\\u00a0"), ranks, most)
     ids = known["ids"].combine_chunks()
     texts = _Texts(explicit(pattern), known["word"].to_pylist(), ids.flatten().to_numpy().astype(np.int32), ids.offsets.to_numpy().astype(np.int64), table)
-    inner = unused(docs, "bpe_text")[0]
-    plain = docs.select(*[q(c) for c in docs.columns if c != text_col], q(text_col).cast("string").alias(inner))
-    cols = plain.columns[:-1]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]), "runs array<array<int>>", "`order` array<int>", "rare array<string>"])
+    cols = [c for c in docs.columns if c not in (text_col, name)]  # under plain names on the way, as theirs may be anything
+    plain = docs.select(*[q(c).alias(f"c{i}") for i, c in enumerate(cols)], q(text_col).cast("string").alias("text"))
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]), "runs array<array<int>>", "`order` array<int>", "rare array<string>"])
     cut = plain.mapInArrow(texts, schema)
 
     def assembled(folded: Column) -> Column:
@@ -208,19 +203,23 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", nam
 
     # the fold is bound, so that it is computed once per text and not once per use
     whole = F.when(F.size("order") == 0, F.get("runs", F.lit(0))).otherwise(_bound(F.transform("rare", lambda w: word_ids(w, ranks)), assembled))
-    return cut.select(*map(q, cols), whole.alias(name))
+    return cut.select(*[f"c{i}" for i in range(len(cols))], whole.alias("out")).toDF(*cols, name)
+
+
+def decoder(path: str) -> Callable[[Column], Column]:
+    """A column function ids -> bytes: the pieces of the ids, concatenated."""
+    table = load_ranks(path)
 
+    @F.arrow_udf(BinaryType())
+    def decode(ids: pa.Array) -> pa.Array:
+        pieces = {rank: token for token, rank in table.items()}
+        return pa.array([None if x is None else b"".join([pieces.get(i, b"") for i in x]) for x in ids.to_pylist()], pa.binary())
 
-def decode(ids: Column, path: str) -> Column:
-    """The bytes of ids: their pieces, concatenated."""
-    pieces = piece_literal(load_ranks(path))
-    return F.encode(F.array_join(F.transform(F.coalesce(ids, F.array().cast("array<int>")), lambda i: F.coalesce(F.get(pieces, i), F.lit(""))), ""), "ISO-8859-1")
+    return lambda ids: F.coalesce(decode(ids), F.lit(b""))
 
 
 @F.arrow_udf(StringType())
 def ids_digest(ids: pa.Array) -> pa.Array:
-    """SHA-256 (hex) of ids as little-endian unsigned 32-bit integers."""
-    import hashlib
-    flat, ends = ids.flatten().to_numpy().astype("<u4"), ids.offsets.to_numpy()
-    ends = ends - ends[0]
-    return pa.array([hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(ends[:-1], ends[1:])])
+    """SHA-256 (hex) of ids as little-endian unsigned 32-bit integers; null counts as no ids."""
+    flat, ends = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
+    return pa.array([hashlib.sha256(flat[a:b].tobytes() if ok else b"").hexdigest() for a, b, ok in zip(ends[:-1], ends[1:], ids.is_valid().to_pylist())])

@@ -114,7 +114,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded. No SQL: tested against the library."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     out = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), bpe.ids_digest("ids").alias("ids_sha256"), F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), bpe.ids_digest("ids").alias("ids_sha256"), F.sha2(bpe.decoder(path)(F.col("ids")), 256).alias("decoded_sha256"))
 
 
 @query
