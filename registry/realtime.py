@@ -13,7 +13,7 @@ from tidemill.functions.text import moderated
 from tidemill.session import fresh_path
 from tidemill.sources.upsert import KeyedTable
 from tidemill.streaming import facts, logs, metrics
-from tidemill.streaming.sinks import drain, run_to_table
+from tidemill.streaming.sinks import drain, files_writer, run_to_table
 from tidemill.streaming.sources import LOG, change_log, json_lines
 from tidemill.streaming.state import live, only_newer
 
@@ -218,7 +218,7 @@ def r2(t: Tables) -> DataFrame:
     table = KeyedTable(t.spark, fresh_path(t.spark, "dims"), ["sink_table", "row_key"])
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        table.merge(facts.dim_routes(batch, dim_config(t)), ["ts_ms", "value"], batch_id)
+        table.merge(facts.dim_routes(batch, dim_config(t)), ["ts_ms", "value"])
 
     drain(changes(t).drop("event_time").writeStream.foreachBatch(run)
           .option("checkpointLocation", fresh_path(t.spark, "dims-ckpt")))
@@ -228,6 +228,18 @@ def r2(t: Tables) -> DataFrame:
         j("value", "$.order_status").alias("not_listed"), "ts_ms")
 
 
+def raw_copy(t: Tables) -> DataFrame:
+    """The router's other output: the change log as it came, forwarded to a topic of its own and read back."""
+    path = fresh_path(t.spark, "raw-changes")
+    drain(files_writer(lines(t, "change", change_topic).select("value"), path, fresh_path(t.spark, "raw-changes-ckpt"), fmt="text"))
+    j = F.get_json_object
+    rows = t.spark.read.text(path).select(j("value", "$.source.table").alias("source_table"), j("value", "$.op").alias("op"), j("value", "$.ts_ms").cast("bigint").alias("ts_ms"))
+    return rows.where(F.col("source_table").isin("order_info", "comment_info"))
+
+
+REG.query("R2_raw_copy", raw_copy, """
+select 'order_info' as source_table, op, ts_ms from chg_order_info
+union all select 'comment_info', 'r', ts_ms from chg_comment_info""")
 REG.query("R2_dim_router", r2, """
 select 'dim_order' as sink_table, md5(id) as row_key, id, province_id as attr, cast(null as varchar) as not_listed,
   max(ts_ms) as ts_ms from chg_order_info group by id, province_id

@@ -75,12 +75,7 @@ select {MASKED}, left(create_time, 10) as start_date, '9999-12-31' as end_date f
 REG.job("B6_dim_user_zip", dims.dim_user_zip, "order", "select * from dim_user_zip")
 
 
-def _todays_changes(t: Tables, d: str):
-    changes = t["ods_user_info_inc"].where(F.substring("operate_time", 1, 10) == d)
-    return dims.dim_user_zip_daily(t.with_tables(ods_user_info_inc=changes), d)
-
-
-REG.job("M2_dim_user_zip_daily", _todays_changes, "order", f"""
+REG.job("M2_dim_user_zip_daily", dims.dim_user_zip_daily, "order", f"""
 with inc as (select * from (select *, row_number() over (partition by id order by operate_time desc) as rn
              from ods_user_info_inc where left(operate_time, 10) = {{O.d}}) where rn = 1)
 select {MASKED}, {{O.d}} as start_date, '9999-12-31' as end_date from inc
@@ -129,6 +124,9 @@ left join (select * from ods_base_dic where parent_code = '11') on payment_type
 REG.job("M5_dwd_trade_payment", dims.dwd_trade_pay_detail_suc_inc, "order",
         f"select * replace ({doubles([*AMT[:3], 'split_payment_amount'])}) from dwd_trade_pay_detail_suc_inc",
         table="dwd_trade_pay_detail_suc_inc")
+REG.job("M5_dwd_trade_payment_daily", dims.dwd_trade_payment_daily, "order",
+        f"select * replace ({doubles([*AMT[:3], 'split_payment_amount'])}) from dwd_trade_pay_detail_suc_inc where ds = {{O.d}}",
+        table="dwd_trade_payment_daily")
 
 MILES = ("payment_time", "delivery_time", "closed_time", "finished_time")
 T["miles"] = """

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemill.session import fresh_path, settled
 from tidemill.sources import tables as src
-from tidemill.sources.upsert import KeyedTable
+from tidemill.sources.upsert import KeyedTable, upsert_batches
 
 
 @pytest.fixture
@@ -62,12 +62,21 @@ def test_keyed_table(spark):
     def batch(*rows):
         return spark.createDataFrame(list(rows), "id int, v string, ts int")
 
-    table.merge(batch((1, "a", 1), (1, "b", 2), (2, "x", 1)), ["ts"], 0)
-    table.merge(batch((2, "y", 5), (3, "z", 1)), ["ts"], 1)
-    table.merge(batch((3, "again", 9)), ["ts"], 1)  # a repeated batch changes nothing
+    table.merge(batch((1, "a", 1), (1, "b", 2), (2, "x", 1)), ["ts"])
+    table.merge(batch((2, "y", 5), (3, "z", 1)), ["ts"])
+    table.merge(batch((2, "y", 5), (3, "z", 1)), ["ts"])  # a repeated batch changes nothing
+    table.merge(spark.createDataFrame([], "id int, v string, ts int"), ["ts"])
     assert {r.id: r.v for r in table.read().collect()} == {1: "b", 2: "y", 3: "z"}
 
 
+def test_two_streams_with_equal_batch_ids_keep_all_rows(spark):
+    table = KeyedTable(spark, fresh_path(spark, "k"), ["id"], buckets=4)
+    one, other = upsert_batches(table, ["ts"]), upsert_batches(table, ["ts"])
+    one(spark.createDataFrame([(1, "a", 1), (None, "n", 1)], "id int, v string, ts int"), 0)
+    other(spark.createDataFrame([(2, "b", 1), (None, "m", 2)], "id int, v string, ts int"), 0)
+    assert {r.id: r.v for r in table.read().collect()} == {1: "a", 2: "b", None: "m"}
+
+
 def test_settled_reads_back(spark, days):
     again = settled(days)
     assert again.exceptAll(days).count() == 0 and "parquet" in again._jdf.queryExecution().executedPlan().toString().lower()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +39,13 @@ def moderated(df: DataFrame, text: str, word_table: DataFrame) -> DataFrame:
             .withColumn("violation_grade", F.when(hit, "P0"))
             .withColumn("violation_msg", F.when(hit, F.col("_word")))
             .drop("_word", "_hit"))
+
+
+def snake_case(name: str) -> str:
+    """``orderId`` -> ``order_id``."""
+    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower()
+
+
+def to_snake_json(names: Sequence[str]) -> Column:
+    """The columns as one JSON text with snake-case names."""
+    return F.to_json(F.struct(*[F.col(n).alias(snake_case(n)) for n in names]))

@@ -19,11 +19,8 @@ def _stamp(df: DataFrame, d: str) -> DataFrame:
 
 
 def _one_and_many(t, d, stem: str, keys: list[str], measures: dict[str, str]) -> DataFrame:
-    """Rows of the day (``recent_days`` 1) and of the n-day table, summed per key."""
-    names = list(measures.values())
-    one = t[f"{stem}_1d"].where(F.col("dt") == d).select(F.lit(1).alias("recent_days"), *keys, *names)
-    many = t[f"{stem}_nd"].select("recent_days", *keys, *names)
-    return one.unionByName(many).groupBy("recent_days", *keys).agg(*[F.sum(c).alias(o) for o, c in measures.items()])
+    """Sums per key over 1, 7 and 30 days. The n-day table is a sum of the same daily rows, so one pass over them serves all."""
+    return horizon_sums(t[f"{stem}_1d"], "dt", d, (1, 7, 30), keys, measures)
 
 
 ORDERS = {"order_count": "order_count", "order_amount": "order_amount"}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions import masks
-from tidemill.functions.dates import OPEN_DATE, as_ds
+from tidemill.functions.dates import OPEN_DATE, as_ds, shift
 from tidemill.functions.rules import activity_benefit, coupon_benefit
 from tidemill.operators.dims import chain, codes_to_names, lookup
 from tidemill.operators.scd2 import scd2_init, scd2_merge
@@ -93,9 +93,9 @@ def dim_user_zip(t, d) -> DataFrame:
 
 
 def dim_user_zip_daily(t, d) -> DataFrame:
-    """One day of user changes applied to the open rows (M2): old versions close at d itself."""
+    """The changes of day d applied to the open rows (M2): old versions close at d itself."""
     opened = t["dim_user_zip"].where(F.col("end_date") == OPEN_DATE)
-    changes = masked_users(t["ods_user_info_inc"])
+    changes = masked_users(t["ods_user_info_inc"].where(F.substring("operate_time", 1, 10) == d))
     return scd2_merge(opened, changes, d, "id", ["operate_time"], close_offset=0)
 
 
@@ -131,14 +131,20 @@ def dwd_trade_order_detail_inc(t, d) -> DataFrame:
 
 
 def dwd_trade_pay_detail_suc_inc(t, d) -> DataFrame:
-    """Successful payments of order lines with the payment type name (M5).
+    """All successful payments of order lines with the payment type name (M5, first load)."""
+    return _paid_lines(t, t["ods_payment_info"], t["dwd_trade_order_detail_inc"])
 
-    Lines are taken from the order days that can still be paid, which include the day before the run date.
-    """
-    pay, od = t["ods_payment_info"], t["dwd_trade_order_detail_inc"]
-    paid = pay.where(F.col("payment_status") == "1602").select(
+
+def dwd_trade_payment_daily(t, d) -> DataFrame:
+    """The successful payments of day d, with lines ordered on that day or the day before (M5, daily)."""
+    lines = t["dwd_trade_order_detail_inc"].where(F.col("ds").isin(d, shift(d, -1)))
+    return _paid_lines(t, t["ods_payment_info"].where(F.substring("callback_time", 1, 10) == d), lines)
+
+
+def _paid_lines(t, payments: DataFrame, lines: DataFrame) -> DataFrame:
+    paid = payments.where(F.col("payment_status") == "1602").select(
         F.col("order_id").alias("_o"), "payment_type", "callback_time")
-    full = od.join(paid, F.col("order_id") == F.col("_o")).drop("_o", "ds")
+    full = lines.join(paid, F.col("order_id") == F.col("_o")).drop("_o", "ds")
     full = codes_to_names(full, t["ods_base_dic"], {"payment_type": ("payment_type_name", "11")})
     return full.withColumnsRenamed({"payment_type": "payment_type_code",
                                     "split_total_amount": "split_payment_amount"}) \

@@ -1,77 +1,64 @@
-"""Keyed tables on plain parquet: every version is a complete directory, a pointer file names the current one."""
+"""Keyed tables on plain partitioned parquet."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.ranking import latest_per_key
+from tidemill.session import settled
+
+BUCKET = "_bucket"
 
 
 class KeyedTable:
-    """Upsert by primary key (S18/S21) that a crash cannot tear.
+    """Upsert by primary key (S18/S21) into a parquet table partitioned by a hash of the key.
 
-    A merge writes a new version next to the old one and then replaces the one-line pointer, so readers see the
-    old table or the new one. A re-run of the same batch id finds its version already current and does nothing.
-    All files live on the table's own file system, reached through Hadoop, never through local paths.
+    A merge reads and rewrites the partitions of the batch's keys only, by dynamic partition overwrite, which also removes
+    their old files. Merging a batch again gives the same table, so a stream that repeats its last batch after a
+    failure needs no memory of batch ids, and any number of streams may feed one table one after the other. ``buckets`` belongs to
+    the table: choose it so that one bucket's rows suit one task, and keep it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-
-    def _fs(self, name: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
 
-    def current(self) -> str | None:
-        fs, p = self._fs("CURRENT")
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
+    def _stored(self) -> DataFrame | None:
         try:
-            return stream.readUTF()
-        finally:
-            stream.close()
-
-    def _point_to(self, version: str) -> None:
-        fs, tmp = self._fs(f"_CURRENT.{version}")
-        out = fs.create(tmp, True)
-        out.writeUTF(version)
-        out.close()
-        _, final = self._fs("CURRENT")
-        uri = fs.getUri()
-        ctx = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            uri, self.spark._jsc.hadoopConfiguration())
-        rename = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        opts = self.spark._sc._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        opts[0] = rename
-        ctx.rename(tmp, final, opts)
+            return self.spark.read.option("mergeSchema", True).parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
 
     def read(self) -> DataFrame | None:
-        version = self.current()
-        return None if version is None else self.spark.read.parquet(f"{self.path}/{version}")
+        stored = self._stored()
+        return None if stored is None else stored.drop(BUCKET)
 
-    def merge(self, rows: DataFrame, order: Sequence[str], batch_id: int) -> None:
+    def merge(self, rows: DataFrame, order: Sequence[str]) -> None:
         """Last row per key wins; within the batch by ``order``, over the stored table always."""
-        version = f"v{batch_id}"
-        if self.current() == version:
+        newest = latest_per_key(rows, self.keys, order).withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        newest = settled(newest, "upsert")
+        touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]  # ``buckets`` numbers at most
+        if not touched:
             return
-        newest = latest_per_key(rows, self.keys, order)
-        stored = self.read()
+        stored = self._stored()
         if stored is not None:
-            kept = stored.join(newest.select(*self.keys), self.keys, "left_anti")
-            newest = kept.unionByName(newest, allowMissingColumns=True)
-        newest.write.mode("overwrite").parquet(f"{self.path}/{version}")
-        self._point_to(version)
+            old = stored.where(F.col(BUCKET).isin(touched))
+            same = [old[k].eqNullSafe(newest[k]) for k in self.keys]
+            kept = old.join(newest, [old[BUCKET] == newest[BUCKET], *same], "left_anti")
+            # written elsewhere first: the partitions that are read are the ones to be replaced
+            newest = settled(kept.unionByName(newest, allowMissingColumns=True), "upsert")
+        newest.repartition(BUCKET).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(BUCKET).parquet(self.path)
 
 
 def upsert_batches(table: KeyedTable, order: Sequence[str]):
     """A ``foreachBatch`` function that merges each micro-batch."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch, order, batch_id)
+        table.merge(batch, order)
     return run
 
 
