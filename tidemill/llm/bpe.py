@@ -1,6 +1,6 @@
 """Byte-level BPE: encoding by a rank file, and decoding.
 
-A text is cut into words by the vocabulary's pattern; the merges of a word depend on the word alone. They are folded by Spark's
+A text is cut into words by the vocabulary's pattern, whose rules are applied to whole batches of code points; the merges of a word depend on the word alone. They are folded by Spark's
 higher-order functions over the word's bytes: in each step the first neighbours whose joined bytes have the lowest rank are joined, until
 no pair has a rank. The rank map is a literal, split into small maps by a checksum so that a look-up costs the same for any size.
 
@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import itertools
 import json
 import zlib
 from collections.abc import Callable, Iterator
@@ -27,16 +26,19 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+from public_tokenizers import PATTERN
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from tidemill.llm.common import q
+from tidemill.llm import tokens
+from tidemill.llm.common import q, ready
 from tidemill.session import settled
 
 BUCKETS = 1 << 13  # small maps that the rank map is split into, a power of two
 FREQUENT = 1 << 19
 LONG = 256
+LETTER, NUMBER, SPACE = 1, 2, 3
 # Fixed value: the white space of the pattern's \s (Unicode White_Space), which differs between regex libraries.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -109,21 +111,84 @@ def _folded(word: Column, ranks: Column) -> Column:
     return _bound(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), folded)
 
 
-@lru_cache(maxsize=4)
-def _compiled(pattern: str) -> regex.Pattern:
-    return regex.compile(pattern)
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """LETTER, NUMBER, SPACE or 0 per code point."""
+    points = np.setdiff1d(np.arange(0x110000, dtype=np.uint32), np.arange(0xD800, 0xE000, dtype=np.uint32))
+    text, kinds = points.astype("<u4").tobytes().decode("utf-32-le"), np.zeros(0x110000, np.uint8)
+    for kind, run in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, f"[{WHITE}]+")):
+        for m in regex.finditer(run, text):
+            kinds[points[m.start():m.end()]] = kind
+    return kinds
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+def _sums(points: np.ndarray) -> np.ndarray:
+    """Running polynomial over code points, to hash any stretch of them."""
+    out = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum(tokens.mix(points.astype(np.uint64) + np.uint64(1)) * tokens._powers(len(points) + 1)[0][:len(points)], out=out[1:])
+    return out
+
+
+def _hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return tokens.mix((sums[end] - sums[start]) * tokens._powers(len(sums))[1][start] + (end - start).astype(np.uint64))
+
+
+def word_starts(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the words of the texts ``bounds[i]:bounds[i + 1]`` begin, as public_tokenizers.PATTERN cuts them.
+
+    Runs of letters, of digits and of other marks are words, each with one space before it. Of white space before something else the
+    last character stands alone or is that space; the rest is a word, as is white space at the end. An apostrophe on its own
+    takes s, t, m, d, re, ve or ll from the letters after it.
+    """
+    n, kind = len(points), _kinds()[points]
+    first = np.zeros(n + 1, bool)
+    first[bounds] = True
+    change = first[:n].copy()
+    change[1:] |= kind[1:] != kind[:-1]
+    begin = np.flatnonzero(change)
+    end = np.append(begin[1:], n)
+    kinds = kind[begin]
+    blank = kinds == SPACE
+    start = np.zeros(n + 1, bool)
+    spaced = ~blank & ~first[begin] & (points[begin - 1] == 32)
+    start[begin - spaced] = True
+    closing = first[end]  # runs at the end of their text
+    alone = blank & ~closing & (end - begin == 1) & (points[begin] == 32)
+    start[begin[blank & ~alone]] = True
+    start[end[blank & ~closing] - 1] = True
+    # contractions
+    quote = np.flatnonzero((points[begin] == 39) & (end - begin == 1) & ~spaced & ~closing)
+    quote = quote[kinds[np.minimum(quote + 1, len(kinds) - 1)] == LETTER]
+    if len(quote):
+        at, stop = begin[quote] + 1, end[quote + 1]
+        one, two = points[at], np.where(stop - at > 1, points[np.minimum(at + 1, n - 1)], 0)
+        takes = np.where(np.isin(one, [ord(c) for c in "stmd"]), 1, 0)
+        for pair in ("re", "ve", "ll"):
+            takes = np.where((one == ord(pair[0])) & (two == ord(pair[1])), 2, takes)
+        hit = takes > 0
+        start[at[hit]] = False
+        more = hit & (stop - at > takes)
+        start[(at + takes)[more]] = True
+    return np.flatnonzero(start[:n])
 
 
 class _Texts:
     """Cuts texts; known words become ids at once, the others are listed for the fold."""
 
-    def __init__(self, pattern: str, words: list[str], flat: np.ndarray, ends: np.ndarray, ranks: dict[bytes, int]):
-        self.pattern, self.words, self.flat, self.ends, self.ranks = pattern, words, flat, ends, ranks
-        self.known: dict[str, int] = {}
-        self.library = None
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}, "library": None}
+    def __init__(self, words: list[str], flat: np.ndarray, ends: np.ndarray, ranks: dict[bytes, int]):
+        parts = [np.zeros(0, np.uint64)]
+        for low in range(0, len(words), 1 << 16):
+            some = words[low:low + (1 << 16)]
+            at = np.concatenate([[0], np.cumsum([len(w) for w in some])]).astype(np.int64)
+            parts.append(_hashes(_sums(_points("".join(some))), at[:-1], at[1:]))
+        hashes = np.concatenate(parts)
+        order = np.argsort(hashes)
+        self.hashes, self.number = hashes[order], order.astype(np.int32)
+        self.flat, self.ends, self.ranks, self.library = flat, ends, ranks, None
 
     def by_library(self, word: str) -> list[int]:
         if self.library is None:
@@ -131,44 +196,41 @@ class _Texts:
             self.library = tiktoken.Encoding("whole", pat_str=r"(?s).+", mergeable_ranks=self.ranks, special_tokens={})
         return self.library.encode_ordinary(word)
 
-    def cut(self, text: str) -> tuple[list[np.ndarray], list[int], list[str]]:
-        """(runs of ids, the rare word after each run but the last, the rare words)."""
-        found = _compiled(self.pattern).findall(text)
-        at = np.fromiter(map(self.known.get, found, itertools.repeat(-1)), np.int64, len(found))
-        runs, order, rare, begin = [], [], {}, 0
-        pending: list[np.ndarray] = []
-        for i in np.flatnonzero(at < 0):
-            pending.append(self.ids(at[begin:i]))
-            begin = i + 1
-            if len(found[i].encode()) > LONG:
-                pending.append(np.array(self.by_library(found[i]), np.int32))
-                continue
-            runs.append(np.concatenate(pending))
-            pending = []
-            order.append(rare.setdefault(found[i], len(rare)))
-        runs.append(np.concatenate([*pending, self.ids(at[begin:])]))
-        return runs, order, list(rare)
-
-    def ids(self, at: np.ndarray) -> np.ndarray:
-        """The ids of known words, by their numbers."""
-        size = self.ends[at + 1] - self.ends[at]
-        total = np.cumsum(size)
-        if not len(at) or not total[-1]:
-            return np.zeros(0, np.int32)
-        return self.flat[np.arange(total[-1]) - np.repeat(total - size - self.ends[at], size)]
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """(ids of known words, ends of the runs between rare words, runs per text, rare words per text, rare words)."""
+        whole = "".join(texts)
+        points = _points(whole)
+        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        start = word_starts(points, bounds)
+        end = np.append(start[1:], len(points))
+        hashes = _hashes(_sums(points), start, end)
+        spot = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        known = self.hashes[spot] == hashes if len(self.hashes) else np.zeros(len(start), bool)
+        word = np.where(known, self.number[spot] if len(self.hashes) else 0, -1).astype(np.int64)
+        flat, ends = self.flat, self.ends
+        for i in np.flatnonzero(~known & (end - start > LONG // 4)):
+            if len((text := whole[start[i]:end[i]]).encode()) > LONG:
+                word[i] = len(ends) - 1
+                flat = np.append(flat, np.array(self.by_library(text), np.int32))
+                ends = np.append(ends, len(flat))
+        size = np.where(word >= 0, ends[word + 1] - ends[word], 0) if len(ends) > 1 else np.zeros(len(word), np.int64)
+        total = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        begin = np.repeat(np.where(word >= 0, ends[word], 0) - total[:-1], size) if len(word) else np.zeros(0, np.int64)
+        ids = flat[np.arange(total[-1]) + begin].astype(np.int32)
+        rare = np.flatnonzero(word < 0)
+        after = np.searchsorted(start, bounds[1:])  # words up to the end of every text
+        many = np.diff(np.concatenate([[0], np.searchsorted(rare, after)]))
+        # a run ends at every rare word and at every end of a text, in this order
+        stops = np.insert(total[rare], np.searchsorted(rare, after), total[after])
+        return ids, stops, many + 1, many, [whole[start[i]:end[i]] for i in rare]
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not self.known:
-            self.known = {w: i for i, w in enumerate(self.words)}
+        offsets = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
         for batch in batches:
-            cuts = [self.cut(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
-            offsets = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            every = [r for c in cuts for r in c[0]]
-            inner = pa.ListArray.from_arrays(offsets([len(r) for r in every]), pa.array(np.concatenate([np.zeros(0, np.int32), *every])))
-            runs = pa.ListArray.from_arrays(offsets([len(c[0]) for c in cuts]), inner)
-            order = pa.ListArray.from_arrays(offsets([len(c[1]) for c in cuts]), pa.array([o for c in cuts for o in c[1]], pa.int32()))
-            rare = pa.ListArray.from_arrays(offsets([len(c[2]) for c in cuts]), pa.array([w for c in cuts for w in c[2]], pa.string()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], runs, order, rare], names=[*batch.schema.names[:-1], "runs", "order", "rare"])
+            ids, stops, runs, many, rare = self.cut([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
+            inner = pa.ListArray.from_arrays(pa.array(np.append(0, stops).astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(offsets(runs), inner), pa.ListArray.from_arrays(offsets(many), pa.array(rare, pa.string()))],
+                                             names=[*batch.schema.names[:-1], "runs", "rare"])
 
 
 def frequent_words(texts: Column, docs: DataFrame, pattern: str, ranks: Column, most: int = FREQUENT) -> pa.Table:
@@ -186,34 +248,46 @@ def frequent_words(texts: Column, docs: DataFrame, pattern: str, ranks: Column,
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", name: str = "ids", most: int = FREQUENT) -> DataFrame:
-    """``docs`` without its text, with the ids of every text."""
+    """``docs`` without its text, with the ids of every text. ``pattern`` must be the one that ``word_starts`` implements."""
+    if pattern != PATTERN:
+        raise ValueError("no cutting rules for this pattern")
+    ready(docs.sparkSession)
     table = load_ranks(path)
     ranks = rank_literal(table)
     known = frequent_words(q(text_col).cast("string"), docs, explicit(pattern).replace("\\x85", "\\u0085").replace("\\xa0", "\\u00a0"), ranks, most)
     ids = known["ids"].combine_chunks()
-    texts = _Texts(explicit(pattern), known["word"].to_pylist(), ids.flatten().to_numpy().astype(np.int32), ids.offsets.to_numpy().astype(np.int64), table)
+    texts = _Texts(known["word"].to_pylist(), ids.flatten().to_numpy().astype(np.int32), ids.offsets.to_numpy().astype(np.int64), table)
     cols = [c for c in docs.columns if c not in (text_col, name)]  # under plain names on the way, as theirs may be anything
     plain = docs.select(*[q(c).alias(f"c{i}") for i, c in enumerate(cols)], q(text_col).cast("string").alias("text"))
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]), "runs array<array<int>>", "`order` array<int>", "rare array<string>"])
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]), "runs array<array<int>>", "rare array<string>"])
     cut = plain.mapInArrow(texts, schema)
 
     def assembled(folded: Column) -> Column:
-        rest = F.zip_with(F.slice("runs", 2, F.size("order")), "order", lambda run, o: F.concat(F.get(folded, o), run))
+        rest = F.zip_with(folded, F.slice("runs", F.lit(2), F.size("rare")), lambda ids, run: F.concat(ids, run))
         return F.concat(F.get("runs", F.lit(0)), F.flatten(rest))
 
     # the fold is bound, so that it is computed once per text and not once per use
-    whole = F.when(F.size("order") == 0, F.get("runs", F.lit(0))).otherwise(_bound(F.transform("rare", lambda w: word_ids(w, ranks)), assembled))
+    whole = F.when(F.size("rare") == 0, F.get("runs", F.lit(0))).otherwise(_bound(F.transform("rare", lambda w: word_ids(w, ranks)), assembled))
     return cut.select(*[f"c{i}" for i in range(len(cols))], whole.alias("out")).toDF(*cols, name)
 
 
 def decoder(path: str) -> Callable[[Column], Column]:
     """A column function ids -> bytes: the pieces of the ids, concatenated."""
     table = load_ranks(path)
+    pieces = [b""] * (max(table.values(), default=-1) + 2)  # the last one for ids outside the vocabulary
+    for token, rank in table.items():
+        pieces[rank] = token
+    size = np.array([len(p) for p in pieces], np.int64)
+    begin, every = np.cumsum(size) - size, np.frombuffer(b"".join(pieces), np.uint8)
 
     @F.arrow_udf(BinaryType())
     def decode(ids: pa.Array) -> pa.Array:
-        pieces = {rank: token for token, rank in table.items()}
-        return pa.array([None if x is None else b"".join([pieces.get(i, b"") for i in x]) for x in ids.to_pylist()], pa.binary())
+        flat = ids.values.to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = np.where((flat < 0) | (flat >= len(size) - 1), len(size) - 1, flat)
+        total = np.concatenate([[0], np.cumsum(size[flat])])
+        data = every[np.arange(total[-1]) + np.repeat(begin[flat] - total[:-1], size[flat])].tobytes()
+        ends = total[ids.offsets.to_numpy()]
+        return pa.array([data[a:b] if ok else None for a, b, ok in zip(ends[:-1], ends[1:], ids.is_valid().to_pylist())], pa.binary())
 
     return lambda ids: F.coalesce(decode(ids), F.lit(b""))
 
