@@ -10,9 +10,19 @@ from tidemill.session import ship_package
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, whole; makes sure that Python workers can import this package."""
+BATCH = 500  # rows per Arrow batch: whole texts travel, so many rows at once would fill a worker's memory
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """Before Python runs on the workers: they can import this package, and batches are small."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+    return spark
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, whole."""
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import tokens
-from tidemill.llm.common import q, unused
+from tidemill.llm.common import q, ready, unused
 from tidemill.session import settled
 
 WINDOW = 5
@@ -149,6 +149,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     def shaped(df: DataFrame, ident: str, text: str) -> DataFrame:
         return df.select(q(ident).cast("bigint").alias("id"), F.xxhash64(q(text)).alias("row"), F.coalesce(q(text).cast("string"), F.lit("")).alias("text"))
 
+    ready(docs.sparkSession)
     items = settled(shaped(benchmark, item_col, item_text_col).mapInArrow(_reader(list(range(1, WINDOW + 1)), None, True), _DDL), "items")
     sizes = [WINDOW] + [r[0] for r in items.where(F.col("words") < WINDOW).select(F.size("slots")).distinct().collect()]  # four more at most
     table = np.zeros(SLOTS, bool)

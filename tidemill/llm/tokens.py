@@ -12,6 +12,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+# freed buffers go back to the system, not to a pool: workers are kept and several run beside one JVM
+pa.set_memory_pool(pa.system_memory_pool())
+
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import q
-from tidemill.session import fresh_path, settled, ship_package
+from tidemill.llm.common import q, ready
+from tidemill.session import fresh_path, settled
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -161,7 +161,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     Columns: file, off, type, record_id, target, refers_to, claimed (the digest in the header), payload_bytes, payload_digest
     (of the bytes read) and payload. Only bytes around a version line inside a payload are exchanged.
     """
-    ship_package(spark)
+    ready(spark)
     raw = spark.read.text(path, lineSep=VERSION).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary"))
     seg = settled(raw.mapInArrow(_segments(with_payload), SEGMENT_DDL), "segments")
     blocks = seg.groupBy("file", "block").agg(F.sum(F.col("size") + len(VERSION)).alias("total"))
