@@ -169,6 +169,20 @@ def test_leaks_need_consistent_slots(spark):
     assert [r.id for r in got] == [2]
 
 
+def test_leaks_of_items_that_repeat_their_template(spark):
+    item = "Row 1 has 5 items. Row 2 has 7 items. Row 3 has 9 items."
+    other = "Row 4 has 6 items. Row 8 has 11 items. Row 12 has 13 items."
+    longer = " ".join(f"Row {i} has {100 + i} items." for i in range(1, 13))
+    cut = longer.replace("Row 7 ", "and so it goes Row 7 ")
+    moved = " ".join(("and so on " if i == 7 else "") + f"Row {i + 20} has {300 + i} items." for i in range(1, 13))
+    items = spark.createDataFrame([(0, item), (1, longer), (2, "Row 1 has 5 items. " * 12)], "item_id long, text string")
+    rows = [(1, "we saw that " + item + " and no more"), (2, other), (3, longer), (4, cut), (5, moved), (6, "Row 1 has 101 items. Row 2 has 102 items.")]
+    got = {(r.id, r.item): r for r in decontaminate.leaks(make(spark, rows), items).collect()}
+    assert {(1, 0), (2, 0), (3, 1), (4, 1), (5, 1)} <= set(got)
+    assert not {(1, 1), (2, 1), (1, 2), (3, 2), (4, 2), (5, 2), (6, 0), (6, 1), (6, 2)} & set(got)
+    assert got[1, 0].verbatim and got[1, 0].matched == 11 and got[3, 1].verbatim and not got[2, 0].verbatim and not got[5, 1].verbatim
+
+
 # licences
 
 def test_licenses(spark, none):

@@ -2,8 +2,8 @@
 
 Numbers, units and names become typed placeholders, so a question keeps its template when its parameters change. Windows of
 template tokens are hash-joined with those of the benchmark. A document leaks an item if windows of the item, close
-together, cover at least 80 % of it, and if the slot values agree: the same value of the item always stands for the same value in the
-document (equal values: a verbatim copy; other values: a re-parameterised question).
+together, cover at least 80 % of it, and if the slot values of one alignment of these windows agree: the same value of the item always
+stands for the same value in the document (equal values: a verbatim copy; other values: a re-parameterised question).
 
 Defined cases: null texts count as empty; empty texts leak nothing and empty items are leaked by nothing; items of fewer
 words than a window are one window of their own length; a window of too few literal words must match word for word; equal items are
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm import tokens
@@ -143,8 +143,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
           item_text_col: str = "text") -> DataFrame:
     """(id, row, item, n_windows, matched, agreement, verbatim) of every document that leaks an item; ``row`` is the text's hash.
 
-    Document windows are first looked up in a table of fixed size, then joined by key, then counted per document, item and
-    place: the join yields rows only where a window of the benchmark stands in a document.
+    Document windows are first looked up in a table of fixed size, then joined by key, then counted per document, item,
+    place and alignment: the join yields rows only where a window of the benchmark stands in a document.
     """
     def shaped(df: DataFrame, ident: str, text: str) -> DataFrame:
         return df.select(q(ident).cast("bigint").alias("id"), F.xxhash64(q(text)).alias("row"), F.coalesce(q(text).cast("string"), F.lit("")).alias("text"))
@@ -168,17 +168,43 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     shift = F.col("pos") - F.col("item_pos")
     band = F.explode(F.array(F.floor(shift / F.col("words")) * 2, F.floor((shift + F.col("words") / 2) / F.col("words")) * 2 + 1)).alias("band")
     place = ["id", "row", "item", "item_row", "band"]
-    hits = settled(hits.select("id", "row", "item", "item_row", "n_windows", "item_pos", band, "slots", "item_slots"), "hits")
-    cover = hits.groupBy(*place).agg(F.max("n_windows").alias("n_windows"), F.countDistinct("item_pos").alias("matched")).where(F.col("matched") >= F.col("n_windows") * COVER)
-    pairs = hits.select(*place, F.explode(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))).alias("p")).where("p.a <> 0 or p.b <> 0")
-    mapped = pairs.groupBy(*place, "p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
-    best = mapped.groupBy(*place, "a").agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).alias("same"))
-    agree = best.groupBy(*place).agg((F.sum("most") / F.sum("n")).alias("agreement"), (F.sum("same") == F.sum("n")).alias("verbatim"))
-    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"g.{c}")) for c in place]
-    both = (cover.alias("c").join(agree.alias("g"), same, "left")
-            .select(*[F.col(f"c.{c}") for c in place], "n_windows", "matched", F.coalesce("agreement", F.lit(1.0)).alias("agreement"), F.coalesce("verbatim", F.lit(True)).alias("verbatim")))
-    found = both.where(F.col("agreement") >= AGREE)
-    return found.groupBy("id", "row", "item").agg(F.max("n_windows").alias("n_windows"), F.max("matched").alias("matched"), F.max("agreement").alias("agreement"), F.max("verbatim").alias("verbatim"))
+    hits = settled(hits.select("id", "row", "item", "item_row", "n_windows", "item_pos", "pos", shift.alias("shift"), band, "slots", "item_slots"), "hits")
+    enough = F.col("matched") >= F.col("n_windows") * COVER
+    # a window of the document stands for one of the item, so two rows of a table are not all the like rows of an item
+    matched = F.least(F.countDistinct("item_pos"), F.countDistinct("pos")).alias("matched")
+    cover = hits.groupBy(*place).agg(F.max("n_windows").alias("n_windows"), matched).where(enough).select(*place)
+    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"c.{c}")) for c in place]
+    found = _aligned(hits.alias("h").join(cover.alias("c"), same, "left_semi"), place).groupBy(*place, "alignment")
+    pairs = found.agg(F.max("n_windows").alias("n_windows"), matched, F.flatten(F.collect_list("pairs")).alias("pairs")).where(enough)
+    pairs = pairs.select(*place, "alignment", "n_windows", "matched", F.explode_outer("pairs").alias("p"))
+    by = [*place, "alignment", "n_windows", "matched"]
+    mapped = pairs.groupBy(*by, "p.a", "p.b").agg(F.count("p").alias("n"))
+    best = mapped.groupBy(*by, "a").agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).alias("same"))
+    agree = best.groupBy(*by).agg(F.coalesce(F.try_divide(F.sum("most"), F.sum("n")), F.lit(1.0)).alias("agreement"), (F.sum("same") == F.sum("n")).alias("verbatim"))
+    # of several alignments the fullest one is reported
+    top = F.max(F.struct("matched", "agreement", "verbatim")).alias("top")
+    out = agree.where(F.col("agreement") >= AGREE).groupBy("id", "row", "item").agg(F.max("n_windows").alias("n_windows"), top)
+    return out.select("id", "row", "item", "n_windows", "top.matched", "top.agreement", "top.verbatim")
+
+
+def _aligned(hits: DataFrame, place: list[str]) -> DataFrame:
+    """(place, alignment, n_windows, item_pos, pos, pairs): the hits of every alignment tried in a place, with their (item, document) slot values.
+
+    A window that repeats in an item also meets its other places, so agreement is that of an alignment, not of all hits: the hits of one
+    shift; per position the hit whose shift has most hits, or the hit nearest to the shift with most; and all word-for-word hits.
+    """
+    pairs = F.filter(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b")), lambda p: (p.a != 0) | (p.b != 0))
+    # a spot met by its words and by its template counts once, with the slots of the template
+    spots = (hits.withColumn("pairs", pairs).withColumn("literal", F.size("pairs") == 0).groupBy(*place, "shift", "item_pos", "pos")
+             .agg(F.max("n_windows").alias("n_windows"), F.max("literal").alias("literal"), F.max(F.struct(F.size("pairs"), "pairs")).getField("pairs").alias("pairs")))
+    near = Window.partitionBy(*place)
+    voted = spots.withColumn("votes", F.count(F.lit(1)).over(Window.partitionBy(*place, "shift"))).withColumn("main", F.max(F.struct("votes", "shift")).over(near)["shift"])
+    far, position = F.abs(F.col("shift") - F.col("main")), Window.partitionBy(*place, "item_pos")
+    ranked = voted.withColumns({"by_votes": F.row_number().over(position.orderBy(F.desc("votes"), far, "shift")),
+                                "by_distance": F.row_number().over(position.orderBy(far, F.desc("votes"), "shift"))})
+    name = lambda kind, at=0: F.struct(F.lit(kind).alias("kind"), F.lit(at).cast("long").alias("shift"))
+    tried = F.array(name(0, F.col("shift")), F.when(F.col("by_votes") == 1, name(1)), F.when(F.col("by_distance") == 1, name(2)), F.when(F.col("literal"), name(3)))
+    return ranked.select(*place, F.explode(F.array_compact(tried)).alias("alignment"), "n_windows", "item_pos", "pos", "pairs")
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
