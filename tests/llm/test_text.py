@@ -183,6 +183,20 @@ def test_leaks_of_items_that_repeat_their_template(spark):
     assert got[1, 0].verbatim and got[1, 0].matched == 11 and got[3, 1].verbatim and not got[2, 0].verbatim and not got[5, 1].verbatim
 
 
+def test_leaks_with_names_that_open_sentences_and_runs_of_placeholders(spark):
+    word = "Tom has 5 apples. Anna has 3 apples. Tom gives Anna 2 apples. How many apples does Tom have now?"
+    city = "a bus goes from New York to San Jose in 25 hours and then from San Jose to New York in 31 hours without any stop"
+    short = "from New York City until 25"
+    items = spark.createDataFrame([(0, word), (1, city), (2, short)], "item_id long, text string")
+    bert = word.replace("Anna", "Bert").replace("Tom", "Kim").replace("5", "8").replace("3", "4")
+    rome = city.replace("New York", "Rome").replace("San Jose", "Rio de Janeiro".replace(" de ", " De ")).replace("25", "forty five").replace("31", "fifty-one")
+    torn = "Tom has 5 apples. Anna has 3 pears. Who sells 7 plums to the old king of the far north?"
+    rows = [(1, "Here it is: " + bert), (2, bert), (3, "so " + rome), (4, city), (5, "trains from Rome until twenty six or so"), (6, torn), (7, "said John\n" + word)]
+    got = {(r.id, r.item): r for r in decontaminate.leaks(make(spark, rows), items).collect()}
+    assert set(got) == {(1, 0), (2, 0), (3, 1), (4, 1), (5, 2), (7, 0)}
+    assert got[4, 1].verbatim and got[7, 0].verbatim and not got[2, 0].verbatim and not got[3, 1].verbatim
+
+
 # licences
 
 def test_licenses(spark, none):
