@@ -110,6 +110,18 @@ def test_pii(spark, odd, none):
     assert pii.find(odd).count() == len(ODD) and pii.find(none).count() == 0
 
 
+def test_pii_adds_what_the_patterns_miss(spark):
+    rng = random.Random(5)
+    number = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = [f"please call: +1 {number(3)} {number(3)} {number(4)} today" for _ in range(150)] + [f"write to {name()}@{name()}.com soon" for _ in range(150)]
+    rows += [f"we made {number(8)} of them" for _ in range(150)] + [f"on 2019-0{number(1)}-1{number(1)} it rained" for _ in range(150)] + [f"the handle {name()}@{name()} is free" for _ in range(60)]
+    rows += ["please call: 269 555 3296 today", "write to anna (at) example.com soon", "we made 48392011 of them", "from 300.555.3.4 on", "card 4111 1111 1111 1112 is not one"]
+    got = {r.id: r.s for r in pii.find(make(spark, list(enumerate(rows)))).select("id", pii.joined(F.col("spans")).alias("s")).collect()}
+    assert [got[i] for i in range(len(rows) - 5, len(rows))] == ["number_like:13:25", "email_like:9:30", "", "", ""]
+    assert not any(got[i] for i in range(300, 660))
+
+
 def test_pii_runs_no_python(spark, odd):
     plan = pii.found_in(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
