@@ -134,3 +134,12 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.comp for r in minhash.components(edges).collect()}
     assert all(got[i] == 0 for i in range(41)) and got[101] == got[100] == 100
+
+
+def test_near_copies_of_lower_similarity(spark):
+    # texts 2i and 2i + 1 share 6 of 16 words, 37.5 %
+    rows = [(i, " ".join([f"s{i // 2}x{j}" for j in range(6)] + [f"o{i}x{j}" for j in range(5)])) for i in range(60)]
+    got = {r.id: r.component_id for r in minhash.near_duplicates(make(spark, rows), shingle=1, percent=35).collect()}
+    assert got == {i: i // 2 * 2 for i in range(60)}
+    with pytest.raises(ValueError):
+        minhash.near_duplicates(make(spark, rows), percent=20)
