@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, decontaminate, exact_dedup, licenses, minhash, pii, quality, secrets, urls, warc
+from tidemill.llm import bpe, decontaminate, exact_dedup, licenses, minhash, packing, pii, quality, secrets, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,4 +126,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document's pieces in sequences of 2048 tokens. No SQL: the ids are a tokenizer's; tested against brute force."""
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run

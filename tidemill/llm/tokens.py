@@ -96,8 +96,8 @@ def words(data: np.ndarray, bounds: np.ndarray) -> Words:
     return Words(data, bounds, np.searchsorted(starts, bounds), starts, ends, hashes, total)
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, bytes, offsets) for runs of texts of about ``CHUNK`` bytes; null counts as empty."""
+def chunks(texts: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, offsets) for runs of texts of about ``size`` bytes; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -108,7 +108,7 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
     row = 0
     while row < len(texts):
-        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK, "right")) - 1)
+        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         yield row, stop, data[offsets[row]:offsets[stop]], offsets[row:stop + 1] - offsets[row]
         row = stop
 
