@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, decontaminate, exact_dedup, licenses, minhash, packing, pii, quality, secrets, urls, warc
+from tidemill.llm import bpe, clustering, decontaminate, exact_dedup, licenses, minhash, packing, pii, quality, secrets, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,4 +132,31 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+def clustering_sql(seeds: int = clustering.SEEDS, rounds: int = clustering.ROUNDS) -> str:
+    """The rounds written out one after another."""
+    parts = [f"""v as materialized (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as p from embeddings
+      where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  x as materialized (select r, unnest(p) as x, unnest(range(64)) as i from v),
+  c0 as materialized (select k, unnest(p) as x, unnest(range(64)) as i from (select p, row_number() over (order by sha256('1:' || vec_id::varchar), p) - 1 as k from v) where k < {seeds})"""]
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} as materialized (select r, k, d from (select r, k, d, row_number() over (partition by r order by d, k) as o
+      from (select r, k, sum((x.x - c.x) * (x.x - c.x))::bigint as d from x join c{n} c using (i) group by r, k)) where o = 1)""")
+        if n < rounds:
+            parts.append(f"""m{n} as materialized (select k, i, sum(x.x)::bigint as s, count(*) as n from x join a{n} using (r) group by k, i),
+  c{n + 1} as materialized (select k, i, coalesce((s - ((s % n) + n) % n) // n, c.x) as x from c{n} c left join m{n} using (k, i))""")
+    return f"""with {", ".join(parts)},
+  h as (select k, sha256(string_agg(x::varchar, ',' order by i)) as centroid_sha256 from c{rounds} group by k)
+select vec_id, k::int as "cluster", d as distance, sum(d) over (partition by k)::bigint as cluster_inertia, sum(d) over ()::bigint as inertia, centroid_sha256
+from a{rounds} join v using (r) join h using (k)"""
+
+
+@query
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after three rounds from 16 seeds."""
+    return clustering.clusters(read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+SQL["op12_clustering"] = clustering_sql()
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
