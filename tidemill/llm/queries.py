@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, clustering, decontaminate, exact_dedup, licenses, minhash, packing, pii, quality, secrets, urls, warc
+from tidemill.llm import bpe, clustering, decontaminate, exact_dedup, licenses, minhash, packing, pii, quality, ranking, secrets, urls, warc
 from tidemill.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,4 +159,26 @@ def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op12_clustering"] = clustering_sql()
 
 
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    found = ranking.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+SQL["op13_lexical_search"] = r"""
+with d as materialized (select row_number() over () as r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t from documents),
+     g as (select count(*) as big_n, sum(len(t)) as l from d where len(t) > 0),
+     p as materialized (select r, term, count(*) as tf from (select r, unnest(t) as term from d) group by all),
+     w as (select term, floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1)))::bigint as w from p, g group by term, big_n),
+     i as (select row_number() over () as k, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t from benchmark),
+     a as (select k, item_id, term, count(*) as c from (select k, item_id, unnest(t) as term from i) group by all),
+     s as (select k, item_id, doc_id, r, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(t) * big_n) // l))))::bigint as score
+           from a join p using (term) join w using (term) join d using (r), g group by k, item_id, doc_id, r),
+     o as (select *, row_number() over (partition by k order by score desc, doc_id nulls last)::int as "rank" from s where score > 0)
+select item_id, "rank", doc_id, score from o where "rank" <= 20"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
