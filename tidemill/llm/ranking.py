@@ -3,8 +3,10 @@
 A document is a vector of impacts, one per term, a query a vector of counts; the score is their product. Documents are ordered by the
 length of their vectors and searched in rounds, longest first. By Cauchy-Schwarz a document scores at most the product of both lengths, so
 once a query has ``top`` results, buckets of vectors too short to reach the last of them are passed over for it, and vectors too short for
-every query are not read at all. Within a bucket the coordinates of a query that can matter most are taken exactly and the rest by
-Cauchy-Schwarz again. What survives is scored exactly, in 64-bit integers. Bounds are rounded up, so no result is lost.
+every query are not read at all. Within a bucket the coordinates of a query are taken exactly, some at a time, those that can matter most
+first; the others are bounded by Cauchy-Schwarz over what is left of both vectors and by their largest values in the bucket. When no document
+can enter the result any more the query leaves the bucket; else all its coordinates are taken, in 64-bit integers, and the scores are
+exact. Bounds are rounded up, so no result is lost.
 
 Queries are taken in blocks of bounded size; documents are counted, weighed and ordered once per block, over the block's terms.
 
@@ -33,7 +35,8 @@ from tidemill.session import settled
 TOP = 20
 QUERIES, QUERY_BYTES = 2_000, 1 << 24  # per block, on average
 HEAD, GROWTH = 64, 8  # the first round takes one in 64 documents, the next ones eight times as many
-FOCUS = 4  # coordinates taken exactly before the rest is bounded
+FOCUS = 4  # coordinates taken exactly before the rest is bounded again
+BUCKET = 2_000
 SURE = 1 + 1e-9  # above the rounding of bounds
 
 _TERM = np.zeros(256, bool)
@@ -124,6 +127,18 @@ class _Impact:
                                              names=["id", "norm", "terms", "impacts"])
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches joined: a bucket has some ``BUCKET`` documents of nearly the same length."""
+    some: list[pa.RecordBatch] = []
+    for batch in batches:
+        some.append(batch)
+        if sum(b.num_rows for b in some) >= BUCKET:
+            yield pa.concat_batches(some)
+            some = []
+    if some:
+        yield pa.concat_batches(some)
+
+
 class _Search:
     """The best documents of a task for every query, as (query, id, score); ``least`` are scores below which a query needs none."""
 
@@ -134,7 +149,7 @@ class _Search:
         block, least = self.block, self.least.copy()
         best: list[list[tuple]] = [[] for _ in block.query]
         some = np.array([len(t) > 0 for t in block.term], bool)
-        for batch in batches:
+        for batch in _buckets(batches):
             norm = batch.column("norm").to_numpy()
             ends = batch.column("terms").offsets.to_numpy()
             ends = ends - ends[0]
@@ -142,6 +157,7 @@ class _Search:
             owner = np.repeat(np.arange(len(norm)), np.diff(ends))
             order = np.argsort(term, kind="stable")
             by_term, doc, value = term[order], owner[order], impact[order]
+            strength = value.astype(float) ** 2
             first = np.searchsorted(by_term, np.arange(len(block.terms) + 1))
             ceiling = np.zeros(len(block.terms))  # the largest impact of a term in the bucket
             np.maximum.at(ceiling, by_term, value)
@@ -151,34 +167,35 @@ class _Search:
                 reach = count * ceiling[mine]
                 if reach.sum() * SURE < max(least[i], 1):
                     continue
-                exact, taken = np.zeros(len(norm)), np.zeros(len(norm))
-                focus = np.argsort(-reach, kind="stable")[:FOCUS]
-                for f in focus.tolist():
-                    at = slice(first[mine[f]], first[mine[f] + 1])
-                    exact[doc[at]] += count[f] * value[at]
-                    taken[doc[at]] += value[at].astype(float) ** 2
-                rest = math.sqrt(max(float((count ** 2).sum() - (count[focus] ** 2).sum()), 0.0))
-                bound = exact + rest * np.sqrt(np.maximum(square * SURE - taken, 0))
-                left = np.flatnonzero((bound * SURE >= least[i]) & (bound > 0))
-                if len(left):
-                    best[i], least[i] = self._rescored(i, left, ends, term, impact, batch.column("id"), best[i], least[i])
+                score, taken = np.zeros(len(norm), np.int64), np.zeros(len(norm))
+                order, hope = np.argsort(-reach, kind="stable"), reach.sum()
+                rest = float((count ** 2).sum())
+                for f in range(0, len(order), FOCUS):
+                    for k in order[f:f + FOCUS].tolist():
+                        at = slice(first[mine[k]], first[mine[k] + 1])
+                        score[doc[at]] += int(count[k]) * value[at]
+                        taken[doc[at]] += strength[at]
+                    hope -= reach[order[f:f + FOCUS]].sum()
+                    rest -= (count[order[f:f + FOCUS]] ** 2).sum()
+                    if hope < 1:
+                        break
+                    more = np.minimum(math.sqrt(max(rest, 0.0)) * np.sqrt(np.maximum(square * SURE - taken, 0)), hope)
+                    if ((score + more) * SURE).max() < least[i]:
+                        break
+                else:
+                    hope = 0.0
+                if hope < 1:
+                    best[i], least[i] = self._entered(score, batch.column("id"), best[i], least[i])
         rows = [(int(block.query[i]), ident, score) for i, found in enumerate(best) for score, ident in found]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], self.kind), pa.array([r[2] for r in rows], pa.int64())],
                                          names=["query", "id", "score"])
 
-    def _rescored(self, i: int, left: np.ndarray, ends: np.ndarray, term: np.ndarray, impact: np.ndarray, ids: pa.Array, best: list[tuple],
-                  least: float) -> tuple[list[tuple], float]:
-        """The best of a query with the documents ``left`` scored, and the score to reach from now on."""
-        weight = np.zeros(len(self.block.terms), np.int64)
-        weight[self.block.term[i]] = self.block.count[i]
-        size = ends[left + 1] - ends[left]
-        total = np.cumsum(size)
-        at = np.arange(total[-1]) + np.repeat(ends[left] - total + size, size)
-        score = np.add.reduceat(weight[term[at]] * impact[at], total - size)
+    def _entered(self, score: np.ndarray, ids: pa.Array, best: list[tuple], least: float) -> tuple[list[tuple], float]:
+        """The best of a query with the documents of a bucket, and the score to reach from now on."""
         good = np.flatnonzero((score > 0) & (score >= least))
         if len(good) > self.top:
             good = good[score[good] >= np.partition(score[good], -self.top)[-self.top]]  # with all ties of the last
-        best = best + [(int(score[g]), ids[int(left[g])].as_py()) for g in good]
+        best = best + [(int(score[g]), ids[int(g)].as_py()) for g in good]
         best.sort(key=lambda r: (-r[0], r[1] is None, r[1]))
         best = best[:self.top]
         return best, max(least, best[-1][0]) if len(best) == self.top else least
