@@ -481,7 +481,11 @@ def sources(dialect: Dialect) -> dict[str, str]:
                    d.ts_ms + {lag} as ts
             from ({{d}}) d join {{orders}} on d.order_id = cast(o_orderkey as string) where {cond}"""
             for activity, lag, cond in (("cast(null as string)", 0, "true"),
-                                        ("d.split_activity_amount", 3000, "d.l_discount > 0.05"))),
+                                        ("d.split_activity_amount", 3000, "d.l_discount > 0.05"),
+                                        # just inside and just beyond a lifetime of ten seconds
+                                        ("d.split_activity_amount", 12900, "d.l_discount > 0.05 and d.l_tax > 0.05"),
+                                        ("cast(null as string)", 13100, "d.l_discount > 0.05 and d.l_tax < 0.02"),
+                                        ("d.split_activity_amount", 10000, "d.l_discount < 0.02"))),
     }
     out["dwd_detail_versions"] = out["dwd_detail_versions"].replace("{d}", out["chg_order_detail"])
     return out

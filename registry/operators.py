@@ -634,9 +634,10 @@ select sku_id, cast(sum(amount) as double) as amount, cast(sum(n) as bigint) as
   select sku_id, max(cast(split_total_amount as decimal(16,4))) as amount, 2 * count(*) - 1 as n
   from dwd_detail_versions group by id, sku_id) group by 1""")
 q("X16_retraction_stream", lambda t: run_to_table(with_retractions(details(t, "0 seconds").where(live(F.col(
-    "id").isNotNull())).select("id", "event_time", "ts", "sku_id"), "id", "ts", ["sku_id"], "5 seconds").select(
-    "id", "sign", "sku_id"), "x16").groupBy("sign").agg(one()),
-  f"select sign, {N} from signed_5 {BY}")
+    "id").isNotNull())).select("id", "event_time", "ts", F.col("split_total_amount").cast("decimal(16,4)").alias("amount")), "id", "ts",
+    ["amount"], "5 seconds"), "x16").groupBy("id").agg(F.sum("sign").alias("versions"), F.sum(F.col("sign") * F.col("amount")).alias("amount")), """
+select id, cast(sum(sign) as bigint) as versions, cast(sum(sign * cast(split_total_amount as decimal(16,4))) as double) as amount
+from signed group by id""")
 q("X20_dirty_split", lambda t: run_to_table(st.parsed_log(lines(t, "raw", raw_log)).select(F.col("_corrupt").isNotNull().alias(
     "dirty")), "x20").groupBy("dirty").agg(one()), f"select k = 13 as dirty, {N} from log_events {BY}")
 q("X24_live_payload", lambda t: t["chg_cart_info"].select("id", F.when(F.col("was").isNotNull(), "d").otherwise(F.col(

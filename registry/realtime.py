@@ -419,24 +419,13 @@ AMTS = {"split_original_amount": "original_amount", "split_activity_amount": "ac
         "split_coupon_amount": "coupon_reduce_amount", "split_total_amount": "order_amount"}
 
 
-def signed_sql(width: int) -> str:
-    """The last version of an id in each window, and the version before it, when not older than ten seconds, negated.
-
-    Times are the window's last millisecond, as in the stream."""
-    w = width * 1000
-    return f"""
-select w, 1 as sign, * exclude (w) from latest_{width}
-union all select nxt, -1, * exclude (w, nxt) from (
-  select *, lead(w) over (partition by id order by w) as nxt from latest_{width})
-where nxt is not null and nxt * {w} - w * {w} <= 10000"""
-
-
-for width in (5, 10):
-    T[f"latest_{width}"] = f"""
-select * exclude (rn) from (select ts // {width * 1000} as w, id, sku_id, province_id, split_original_amount,
-  split_activity_amount, split_coupon_amount, split_total_amount,
-  row_number() over (partition by id, w order by ts desc) as rn from dwd_detail_versions) where rn = 1"""
-    T[f"signed_{width}"] = signed_sql(width)
+#: Every version, and the version before it taken back at its time when that is at most ten seconds older.
+T["signed"] = """
+select ts, 1 as sign, * exclude (ts, nxt) from followed
+union all select nxt, -1, * exclude (ts, nxt) from followed where nxt - ts <= 10000"""
+T["followed"] = """
+select ts, id, sku_id, province_id, split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount,
+  lead(ts) over (partition by id order by ts) as nxt from dwd_detail_versions"""
 
 
 def amount(col: str, out: str) -> str:
@@ -448,7 +437,7 @@ REG.query("R20_sku_orders", lambda t: metrics.with_sku_names(
     t.with_tables(ods_sku_info=_text_sku(t))), f"""
 select x.*, sku_name, spu_id, tm_id, category3_id, spu_name, tm_name, category3_name, category2_id, category2_name,
   category1_id, category1_name from (
-  select {win('w * 5000', 5)}, sku_id, {', '.join(amount(c, o) for c, o in AMTS.items())} from signed_5 group by all) x
+  select {win('ts', 5)}, sku_id, {', '.join(amount(c, o) for c, o in AMTS.items())} from signed group by all) x
 left join dim_sku_full s on x.sku_id = cast(s.id as varchar)""")
 
 
@@ -462,7 +451,7 @@ def r21(t: Tables) -> DataFrame:
 
 REG.query("R21_province_orders", r21, f"""
 select a.*, order_count, p.name as province_name from (
-  select {win('w * 10000', 10)}, province_id, {amount('split_total_amount', 'order_amount')} from signed_10 group by all) a
+  select {win('ts', 10)}, province_id, {amount('split_total_amount', 'order_amount')} from signed group by all) a
 left join (select {win('ts', 10)}, province_id, count(distinct order_id) as order_count from dwd_detail_versions
   group by all) o on a.stt = o.stt and a.province_id = o.province_id
 left join ods_base_province p on a.province_id = cast(p.id as varchar)""")

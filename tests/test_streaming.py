@@ -1,6 +1,10 @@
 """Streams: several files, restarts, late rows, live configuration."""
 
 import json
+import os
+import pathlib
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +15,7 @@ from tidemill.streaming.sinks import drain, files_writer
 from tidemill.streaming.sources import change_log, json_lines
 from tidemill.streaming.state import first_of_day, live, with_retractions
 
+ROOT = pathlib.Path(__file__).resolve().parents[1]
 DAY = 86_400_000
 T0 = 1_751_328_000_000  # 2025-07-01 00:00:00
 
@@ -94,6 +99,60 @@ def test_retraction_within_lifetime_only(spark):
     assert {r.id: (r.v, r.n) for r in got.collect()} == {"x": (16, 2), "y": (2, 1)}
 
 
+@pytest.mark.parametrize("grain", ["1 second", "5 seconds", "10 seconds"])
+def test_retraction_lifetime_is_event_time(spark, grain):
+    """Distances of 9.9, 10 and 10.1 s at every place of the windows; several versions in one window; one batch per file."""
+    path, out, ckpt = (fresh_path(spark, x) for x in ("in", "out", "ck"))
+    rows = []
+    for k, start in enumerate(range(0, 10_000, 700)):
+        for name, gap in (("in", 9_900), ("edge", 10_000), ("out", 10_100)):
+            rows += [(f"{name}{k}", start, 1), (f"{name}{k}", start + gap, 10), (f"{name}{k}", start + gap + 40, 100)]
+    rows += [("hot", i * 7, i) for i in range(600)]
+    rows.sort(key=lambda r: r[1])
+    for n in range(0, len(rows), 150):
+        put(spark, path, [{"id": i, "ts": T0 + t, "v": v} for i, t, v in rows[n:n + 150]])
+    put(spark, path, [{"id": "beat", "ts": T0 + DAY, "v": 0}])
+    put(spark, path, [{"id": "beat", "ts": T0 + DAY + 1, "v": 0}])
+    rec = F.from_json("value", "id string, ts bigint, v int").alias("r")
+    stream = metrics.clocked(json_lines(spark, path, 1).select(rec).select("r.*"), "ts", "1 second").where(live(F.col("id") != "beat"))
+    drain(files_writer(with_retractions(stream, "id", "ts", ["v"], grain), out, ckpt).outputMode("append"))
+    got = {r.id: (r.v, r.n) for r in spark.read.parquet(out).groupBy("id").agg(F.sum(F.col("sign") * F.col("v")).alias("v"), F.sum("sign").alias("n")).collect()}
+    want = {"hot": (599, 1)}
+    for k in range(15):
+        want |= {f"in{k}": (100, 1), f"edge{k}": (100, 1), f"out{k}": (101, 2)}
+    assert got == want
+
+
+def test_retraction_needs_a_grain_within_the_lifetime(spark):
+    with pytest.raises(ValueError):
+        with_retractions(spark.createDataFrame([], "id string, event_time timestamp, ts long, v int"), "id", "ts", ["v"], "20 seconds")
+
+
+def test_state_processors_run_from_another_folder(tmp_path):
+    """The package is on the driver's path only, not in the workers' folder."""
+    code = f"""
+import json, sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import functions as F
+from tidemill.session import fresh_path, local_session
+from tidemill.streaming.metrics import clocked
+from tidemill.streaming.sinks import run_to_table
+from tidemill.streaming.sources import json_lines
+from tidemill.streaming.state import first_of_day, live, only_newer
+spark = local_session("2", "elsewhere", 2)
+path = fresh_path(spark, "in")
+lines = [json.dumps({{"id": i, "ts": 1751328000000 + t}}) for i, t in (("a", 5), ("a", 1), ("b", 2), ("beat", 400000000))]
+spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+rec = F.from_json("value", "id string, ts bigint").alias("r")
+rows = clocked(json_lines(spark, path, 1).select(rec).select("r.*"), "ts", "0 seconds").where(live(F.col("id") != "beat"))
+print("FIRST", run_to_table(first_of_day(rows, ["id"], "5 seconds"), "out").count())
+print("NEWER", run_to_table(only_newer(rows.withColumnRenamed("ts", "ts_ms")), "out").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "FIRST 2" in got.stdout and "NEWER 3" in got.stdout, got.stderr[-2000:]
+
+
 def change(table, after, op="r", before=None, ts=0):
     return {"op": op, "before": before, "after": after, "source": {"table": table}, "ts_ms": T0 + ts}
 

@@ -6,13 +6,18 @@ so a key that sends a third of all events costs its few distinct (day, window) r
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# the workers that run state processors do not see shipped packages, so the classes travel themselves, not by name
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SALTS = 16
 
 
@@ -110,68 +115,38 @@ def first_of_day(df: DataFrame, keys: Sequence[str], grain: str, carry: Sequence
 BUCKETS = 256
 
 
-class Replaced(StatefulProcessor):
-    """Versions replaced by later ones within ``ttl_ms`` of event time, to be taken back.
-
-    Keyed by a hash bucket of ids, so one call settles many ids with a few vectorised steps and two state accesses.
-    The state holds each id's last version only as long as the watermark allows a successor inside the lifetime.
-    """
-
-    def __init__(self, payload: Sequence[str], ddl: str, ttl_ms: int):
-        self.payload, self.ddl, self.ttl_ms = list(payload), ddl, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getListState("kept", f"{self.ddl}, at_ms bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        cols = ["id", *self.payload]
-        new = pd.concat(list(rows), ignore_index=True)
-        new["at_ms"] = (new["event_time"] - pd.Timestamp(0)) // pd.Timedelta(milliseconds=1)
-        old = pd.DataFrame(list(self.kept.get()), columns=[*cols, "at_ms"])
-        every = pd.concat([old, new[[*cols, "at_ms"]]], ignore_index=True).astype({"at_ms": "int64"})
-        every["fresh"] = [False] * len(old) + [True] * len(new)
-        every = every.sort_values(["id", "at_ms"], kind="stable", ignore_index=True)
-        before = every.shift()
-        undo = every["fresh"] & (every["id"] == before["id"]) & (every["at_ms"] - before["at_ms"] <= self.ttl_ms)
-        gone = before.loc[undo, cols].assign(at_ms=every.loc[undo, "at_ms"], sign=-1)
-        came = every.loc[every["fresh"], [*cols, "at_ms"]].assign(sign=1)
-        last = every.loc[~every.duplicated("id", keep="last"), [*cols, "at_ms"]]
-        last = last[last["at_ms"] + self.ttl_ms >= timerValues.getCurrentWatermarkInMs()]
-        plain = last.astype(object).where(last.notna(), None)
-        if len(plain):
-            self.kept.put([(*r[:-1], int(r[-1])) for r in plain.itertuples(index=False, name=None)])
-        else:
-            self.kept.clear()
-        out = pd.concat([gone, came], ignore_index=True) if len(gone) else came
-        out["event_time"] = pd.to_datetime(out["at_ms"], unit="ms")
-        yield out[["id", "event_time", "sign", *self.payload]]
+def with_retractions(df: DataFrame, key: str, version: str, payload: Sequence[str], grain: str, ttl_ms: int = 10_000) -> DataFrame:
+    """Versions of a key with ``sign`` +1, and the versions they replace with ``sign`` -1 (X16), by event time.
 
-    def close(self) -> None:
-        pass
+    A version takes back the one before it when that is at most ``ttl_ms`` older. Sums of ``sign * amount`` over windows of ``grain`` need
+    three things of a key and a window only: the time of its first version there, its last version there, and its last version before the
+    window; versions in between cancel, as they lie within the lifetime of each other (so ``grain`` must not exceed it). All three come from
+    one aggregate over windows that slide by ``grain`` and reach back by the lifetime: it combines on the map side, whatever share
+    of the rows one key has, and a key's state leaves with the watermark. Of equal times the higher version counts as the later.
 
+    The rows carry the event time of the window they count in.
+    """
+    width = round(pd.Timedelta(grain).total_seconds() * 1000)
+    if width > ttl_ms:
+        raise ValueError("the grain must not exceed the lifetime: versions of one window would not all replace each other")
+    reach = width * (1 + -(-ttl_ms // width))
+    sliding = df.withColumn("_w", F.window("event_time", f"{reach} milliseconds", f"{width} milliseconds"))
+    inside = F.col("event_time") >= F.expr(f"timestampadd(MILLISECOND, -{width}, _w.end)")
+    one = F.struct(F.unix_millis("event_time").alias("at"), F.col(version).alias("version"), *payload)
+    rows = sliding.groupBy("_w", F.col(key).alias("id")).agg(
+        F.min(F.when(inside, F.unix_millis("event_time"))).alias("_first"), F.max(F.when(inside, one)).alias("_now"),
+        F.max(F.when(~inside, one)).alias("_was")).where(F.col("_first").isNotNull())
+    undone = F.col("_was").isNotNull() & (F.col("_first") - F.col("_was.at") <= ttl_ms)
 
-def with_retractions(df: DataFrame, key: str, version: str, payload: Sequence[str], grain: str,
-                     ttl_ms: int = 10_000, buckets: int = BUCKETS) -> DataFrame:
-    """Versions of a key with ``sign`` +1, and the versions they replace with ``sign`` -1.
+    def signed(sign: int, of: str) -> Column:
+        return F.struct(F.lit(sign).alias("sign"), *[F.col(f"{of}.{c}").alias(c) for c in payload])
 
-    Inside one window only a key's last version can matter to a sum, so windows are reduced to it first -- an
-    aggregate that combines on the map side -- and the processor sees one row per key and window. The result
-    carries the window's event time; sums of ``sign * amount`` count every key once.
-    """
-    latest = df.groupBy(F.window("event_time", grain).alias("_w"), F.col(key).alias("id")).agg(
-        F.max_by(F.struct("event_time", *payload), F.struct(version)).alias("_v"))
-    rows = latest.select(F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("_b"), "id",
-                         F.window_time("_w").alias("event_time"), *[F.col(f"_v.{c}") for c in payload])
-    types = dict(rows.dtypes)
-    ddl = ", ".join(f"{c} {types[c]}" for c in ("id", *payload))
-    return rows.groupBy("_b").transformWithStateInPandas(
-        Replaced(payload, ddl, ttl_ms), f"id {types['id']}, event_time timestamp, sign int, "
-        + ", ".join(f"{c} {types[c]}" for c in payload), "append", "eventTime", eventTimeColumnName="event_time")
+    every = F.array_compact(F.array(signed(1, "_now"), F.when(undone, signed(-1, "_was"))))
+    return rows.select("id", F.window_time("_w").alias("event_time"), F.explode(every).alias("_s")).select("id", "event_time", "_s.*")
 
 
 class Newest(StatefulProcessor):
-    """Pass a row only when its version exceeds every version of its id seen before (X17); bucketed like
-    :class:`Replaced`. An id is forgotten ``ttl_ms`` after its newest row."""
+    """Pass a row only when its version exceeds every version of its id seen before (X17), many ids per call. An id is forgotten ``ttl_ms`` after its newest row."""
 
     def __init__(self, id_type: str, ttl_ms: int):
         self.id_type, self.ttl_ms = id_type, ttl_ms
