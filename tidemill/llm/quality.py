@@ -114,14 +114,33 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 12, batch: int = 256, rate: float = 0.02, decay: float = 1e-4, seed: int = 5) -> Machine:
-    """Fit on (label, features, values) rows by mini-batch Adam on the log loss."""
+@dataclass
+class Rows:
+    """Labelled rows: those of ``label[i]`` are ``slot`` and ``value`` from ``first[i]`` to ``first[i + 1]``."""
+
+    label: np.ndarray
+    first: np.ndarray
+    slot: np.ndarray
+    value: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.label)
+
+    def some(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, feature, value) of the given rows, in their order."""
+        size = self.first[rows + 1] - self.first[rows]
+        at = np.arange(size.sum()) + np.repeat(self.first[rows] - np.cumsum(size) + size, size)
+        return np.repeat(np.arange(len(rows)), size), self.slot[at], self.value[at].astype(float)
+
+
+def train(rows: Rows, epochs: int = 12, batch: int = 256, rate: float = 0.02, decay: float = 1e-4, seed: int = 5) -> Machine:
+    """Fit on labelled rows by mini-batch Adam on the log loss."""
     rng = np.random.default_rng(seed)
     m = Machine(0.0, np.zeros(SIZE), rng.normal(0, 0.02, (SIZE, RANK)))
-    if not rows:
+    if not len(rows):
         m.factor[:] = 0
         return m
-    labels = np.array([r[0] for r in rows], float)
+    labels = rows.label.astype(float)
     m.bias = float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1)))
     size = SIZE * (RANK + 1)
     first, second, step = np.zeros(size), np.zeros(size), 0
@@ -129,8 +148,7 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 12, batc
         order = rng.permutation(len(rows))
         for at in range(0, len(rows), batch):
             pick = order[at:at + batch]
-            doc = np.repeat(np.arange(len(pick)), [len(rows[i][1]) for i in pick])
-            slot, value = np.concatenate([rows[i][1] for i in pick]), np.concatenate([rows[i][2] for i in pick])
+            doc, slot, value = rows.some(pick)
             score, sums = m.margin(len(pick), doc, slot, value)
             error = (_sigmoid(score) - labels[pick]) / len(pick)
             pull = error[doc] * value
@@ -179,9 +197,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     stated = q(length_col).cast("double") if length_col in docs.columns else F.lit(None).cast("double")
     rows = docs.select(q(id_col).alias("id"), q(text_col).cast("string").alias("text"), stated.alias("stated")).join(picked, "id")
     got = rows.select("quality", "text", "stated").mapInArrow(_extract, "quality int, slot array<int>, value array<float>").toArrow()
-    rows = list(zip(got["quality"].to_pylist(), map(np.array, got["slot"].to_pylist()), map(np.array, got["value"].to_pylist())))
-    rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tolist()[:50]))  # the order of arrival must not matter
-    return train(rows)
+    label, first, slot, value = (np.concatenate([np.zeros(0, kind), *parts]).astype(kind) for kind, parts in (
+        (np.int32, [c.to_numpy() for c in got["quality"].chunks]), (np.int64, [np.diff(c.offsets.to_numpy()) for c in got["slot"].chunks]),
+        (np.int32, [c.flatten().to_numpy() for c in got["slot"].chunks]), (np.float32, [c.flatten().to_numpy() for c in got["value"].chunks])))
+    first = np.concatenate([[0], np.cumsum(first)])
+    # the order of arrival must not matter: by label, number of features, and the first of these
+    key = [(int(label[i]), int(first[i + 1] - first[i]), slot[first[i]:min(first[i] + 50, first[i + 1])].astype(">i4").tobytes()) for i in range(len(label))]
+    return train(Rows(*_ordered(label, first, slot, value, np.array(sorted(range(len(key)), key=key.__getitem__), np.int64))))
+
+
+def _ordered(label: np.ndarray, first: np.ndarray, slot: np.ndarray, value: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The rows in another order."""
+    size = first[order + 1] - first[order]
+    at = np.arange(size.sum()) + np.repeat(first[order] - np.cumsum(size) + size, size)
+    return label[order], np.concatenate([[0], np.cumsum(size)]), slot[at], value[at]
 
 
 def scorer(machine: Machine) -> Callable[..., Column]:
