@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from tidemill.plans import rfm
 from tidemill.session import fresh_path
 from tidemill.sources import tables as src
 from tidemill.sources.upsert import KeyedTable, upsert_batches
-from tidemill.streaming import metrics
+from tidemill.streaming import facts, metrics
 from tidemill.streaming import sources as st
 from tidemill.streaming.sinks import batch_writer, drain, files_writer, run_to_table, to_json_value
 from tidemill.streaming.state import first_of_day, live, with_retractions
@@ -329,19 +331,18 @@ q("J16_snapshot_self_join", lambda t: t["dws_user_user_login_td"].alias("a").joi
     "user_id", F.col("b.login_date_last").alias("previous")), """
 select a.user_id, b.login_date_last as previous from dws_user_user_login_td a
 join dws_user_user_login_td_yesterday b on a.user_id = b.user_id where a.login_date_last <> b.login_date_last""")
-q("J20_prefixed_merge", lambda t: _prefixed(t), """
-select c.id, c.comment_txt, i.user_id as info_user_id, i.province_id as info_province_id
-from (select *, split_part(id, '-', 1) as oid from chg_comment_info) c join chg_order_info i on oid = i.id and i.op = 'r'""")
-
-
-def _prefixed(t: Tables) -> DataFrame:
-    """Two records as one, the right one's columns prefixed."""
-    info = t["chg_order_info"].where("op = 'r'").select("id", "user_id", "province_id")
-    right = info.select(*[F.col(c).alias(f"info_{c}") for c in info.columns])
-    left = t["chg_comment_info"].select("id", "comment_txt", F.split_part("id", F.lit("-"), F.lit(1)).alias("_o"))
-    return left.join(right, F.col("_o") == F.col("info_id")).drop("_o", "info_id")
-
-
+def prefixed_details(t: Tables) -> DataFrame:
+    """Order lines as one record with their order, two seconds either way, the order's columns prefixed."""
+    orders = facts.table(changes(t), "order_info", F.col("op") == "r").select(
+        *[st.after(c).alias(c) for c in ("id", "user_id", "province_id")], "event_time")
+    detail = facts.table(changes(t), "order_detail").select(
+        *[st.after(c).alias(c) for c in ("id", "order_id", "sku_id")], "event_time")
+    return done(facts.prefixed_merge(detail, orders, "order_id", "id", "info_", 2), "prefixed")
+
+
+q("J20_prefixed_merge", prefixed_details, """
+select d.id, d.order_id, d.sku_id, o.id as info_id, o.user_id as info_user_id, o.province_id as info_province_id
+from chg_order_detail d join chg_order_info o on d.order_id = o.id and o.op = 'r' and abs(d.ts_ms - o.ts_ms) <= 2000""")
 q("J21_temporal_lookup", lambda t: micro(changes(t).where(live(F.col("source")["table"] == "comment_info")).select(
     st.after("id").alias("id"), st.after("appraise").alias("code")), "j21", lambda b: dims.lookup(
         b, t["ods_base_dic"], "code", "dic_code", {"name": "dic_name"}, "inner")),
@@ -557,9 +558,8 @@ q("F15_fan_out", lambda t: run_to_table(lines(t, "raw", raw_log).select(F.from_j
     "f15"), "select mid, pos from log_events, (values ('1'), ('2')) p(pos) where kind = 'view' and k <> 13")
 q("F16_hash_bucket", lambda t: t["customer"].select("c_custkey", masks.hash_bucket(F.col("c_name"), 100).alias("b")),
   "select c_custkey, lpad(cast(cast('0x' || right(md5(c_name), 3) as int) % 100 as varchar), 4, '0') as b from customer")
-q("F17_date_spine", lambda t: dates.date_spine(t.spark, t.first("order"), t.d("order")).join(
-    od(t).select(F.regexp_replace("ds", "-", "").cast("int").alias("day")), "day", "left_semi"),
-  "select distinct cast(replace(ds, '-', '') as int) as day from od")
+q("F17_date_spine", lambda t: dates.date_spine(t.spark, t.first("order"), t.d("order")), """
+select cast(strftime(unnest(generate_series(cast(min(ds) as date), cast(max(ds) as date), interval 1 day)), '%Y%m%d') as int) as day from od""")
 q("F18_range_label", lambda t: od(t).select("o_orderkey", dates.span_label(F.col("ds"), 7).alias("label")),
   "select o_orderkey, strftime(cast(ds as date) - 6, '%Y-%m-%d') || '至' || ds as label from od")
 
@@ -574,17 +574,70 @@ def tumbled(key: str, delay: str, width: str, seconds: int) -> None:
         F.lit(1)).alias("n")), "win"), f"select {win('ts', seconds)}, {N} from page_log {BY}")
 
 
-tumbled("X1_monotonous_clock", "0 seconds", "5 seconds", 5)
-tumbled("X2_bounded_delay", "5 minutes", "10 seconds", 10)
-tumbled("X4_computed_clock", "5 seconds", "1 hour", 3600)
-tumbled("X7_global_window", "3 seconds", "10 seconds", 10)
+def resent(t: Tables, delay: str, width: str) -> DataFrame:
+    """Counts per window of a log in order of time, four events a second, of which each half is sent again after its end.
+
+    Heartbeats with the last time of the half let the watermark settle before; so of the rows that come again, the ones count whose window
+    ends after that time less the delay."""
+    path = fresh_path(t.spark, "resent")
+    rows = t["log_events"].select((F.col("event_id") * 250 + 1_700_000_000_000).alias("ts"), F.lit(True).alias("counts"))
+    ends = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    if ends.low is None:
+        return t.spark.createDataFrame([], "stt string, edt string, cur_date string, n bigint")
+    middle = (ends.low + ends.high) // 2
+
+    def sent(df: DataFrame) -> None:  # one file is one batch
+        df.coalesce(1).write.mode("append").json(path)
+
+    def beats(at: int) -> None:
+        for _ in range(2):
+            sent(t.spark.createDataFrame([(at, False)], "ts long, counts boolean"))
+
+    for half, end in ((rows.where(F.col("ts") <= middle), middle), (rows.where(F.col("ts") > middle), ends.high)):
+        sent(half)
+        beats(end)
+        sent(half)
+    beats(ends.high + 4 * 86_400_000)
+    reader = t.spark.readStream.schema("ts long, counts boolean").option("maxFilesPerTrigger", 1).json(path)
+    return done(metrics.windowed(metrics.clocked(reader, "ts", delay).where(live(F.col("counts"))), width, [], F.count(F.lit(1)).alias("n")), "resent")
+
+
+def delayed(key: str, delay: str, late_ms: int, width: str, seconds: int) -> None:
+    q(key, lambda t: resent(t, delay, width), f"""
+with e as (select event_id * 250 + 1700000000000 as ts from log_events), m as (select (min(ts) + max(ts)) // 2 as middle, max(ts) as high from e),
+  s as (select ts, if(ts <= middle, middle, high) as fin from e, m)
+select {win('ts', seconds)}, {N} from (select ts from s union all
+  select ts from s where ts // {seconds * 1000} * {seconds * 1000} + {seconds * 1000} > fin - {late_ms}) {BY}""")
+
+
+delayed("X1_monotonous_clock", "0 seconds", 0, "5 seconds", 5)
+delayed("X2_bounded_delay", "5 minutes", 300_000, "10 seconds", 10)
+delayed("X4_computed_clock", "5 seconds", 5_000, "1 hour", 3600)
+delayed("X7_global_window", "3 seconds", 3_000, "10 seconds", 10)
 tumbled("X9_three_day_window", "5 seconds", "3 days", 259200)
 q("X6_keyed_window", lambda t: done(metrics.windowed(pages(t).where(live(F.col("page").isNotNull())).withColumn(
     "ch", F.col("common.ch")), "10 seconds", ["ch"], F.count(F.lit(1)).alias("n")), "x6"),
   f"select {win('ts', 10)}, ch, {N} from page_log {BY}")
-q("X8_one_second_window", lambda t: done(metrics.windowed(pages(t).where(live(F.col("page").isNotNull())), "1 second", [],
-                                                         F.count(F.lit(1)).alias("n")), "x8"),
-  f"select {win('ts', 1)}, {N} from page_log {BY}")
+def by_clock(t: Tables) -> DataFrame:
+    """Counts by the clock: the whole log in a few batches, then heartbeats a second later that close the last window."""
+    path, out, ckpt = (fresh_path(t.spark, f"clock-{x}") for x in ("in", "out", "ckpt"))
+    rows = t["log_events"].select("ch", "ts")
+    files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(files).write.json(path)
+
+    def run() -> None:
+        reader = t.spark.readStream.schema("ch string, ts bigint").option("maxFilesPerTrigger", -(-files // 3))
+        drain(files_writer(metrics.processing_windows(reader.json(path), "1 second", ["ch"], F.count(F.lit(1)).alias("n")), out, ckpt).outputMode("append"))
+
+    run()
+    time.sleep(1.1)
+    t.spark.createDataFrame([("beat", 0)], "ch string, ts bigint").write.mode("append").json(path)
+    run()
+    whole = F.unix_seconds(F.col("edt").cast("timestamp")) - F.unix_seconds(F.col("stt").cast("timestamp")) == 1
+    return t.spark.read.parquet(out).where("ch <> 'beat'").groupBy("ch").agg(F.sum("n").alias("n"), F.every(whole).alias("whole"))
+
+
+q("X8_one_second_window", by_clock, f"select ch, {N}, true as whole from log_events {BY}")
 q("X10_composite_key_window", lambda t: done(metrics.windowed(pages(t).where(live(F.col("page").isNotNull())).select(
     "event_time", "common.vc", "common.ch", "common.ar", "common.is_new"), "10 seconds", ["vc", "ch", "ar", "is_new"],
     F.count(F.lit(1)).alias("n")), "x10"), f"select {win('ts', 10)}, vc, ch, ar, is_new, {N} from page_log {BY}")
@@ -645,6 +698,32 @@ q("X24_live_payload", lambda t: t["chg_cart_info"].select("id", F.when(F.col("wa
         "sku_num")).alias("after")).select("id", st.live_payload()["n"].alias("n")),
   "select id, coalesce(was, sku_num) as n from chg_cart_info")
 
+# ---------------------------------------------------------------- routing by a configuration that changes while the stream runs
+def config_changes(t: Tables) -> DataFrame:
+    """The change log of the routing table: cart updates get a route, another one after a third of the time and none after two thirds."""
+    ends = t["chg_cart_info"].agg(F.min("ts_ms").alias("low"), F.max("ts_ms").alias("high"))
+    third = F.col("low") + (F.col("high") - F.col("low")) / 3 * F.col("k")
+    steps = t.spark.createDataFrame([(0, "r", "dwd_cart", "id,sku_num"), (1, "u", "dwd_cart_v2", "id"), (2, "d", "dwd_cart_v2", "id")], "k int, change string, sink_table string, sink_columns string")
+    rows = steps.crossJoin(ends)  # three rows and one
+    return rows.select("change", F.lit("cart_info").alias("source_table"), "sink_table", "sink_columns", F.lit("u").alias("op"),
+                       F.when(F.col("k") == 0, F.lit(0)).otherwise(F.floor(third)).cast("long").alias("changed_ms"))
+
+
+def live_routes(t: Tables) -> DataFrame:
+    path = fresh_path(t.spark, "config")
+    config_changes(t).coalesce(1).write.json(path)
+    history = lambda: facts.config_history(t.spark.read.schema(facts.CONFIG_CHANGE).json(path), ["source_table", "op"])
+    rows = micro(changes(t).drop("event_time"), "live", lambda b: facts.fact_routes_as_of(b, history()))
+    j = F.get_json_object
+    return rows.select("topic", j("value", "$.id").alias("id"), j("value", "$.sku_num").alias("sku_num"), j("value", "$.ts").cast("bigint").alias("ts"))
+
+
+q("X22_live_routes", live_routes, """
+with e as (select min(ts_ms) as low, max(ts_ms) as high from chg_cart_info),
+  c as (select floor(low + (high - low) / 3 * 1) as one, floor(low + (high - low) / 3 * 2) as two from e)
+select if(ts_ms < one, 'dwd_cart', 'dwd_cart_v2') as topic, id, if(ts_ms < one, sku_num, null) as sku_num, ts_ms as ts
+from chg_cart_info, c where op = 'u' and ts_ms < two""")
+
 # ---------------------------------------------------------------- table functions and composite operators
 q("D1_words", lambda t: text.explode_words(t["documents"].select("doc_id", "text"), "text", "word").groupBy("word").agg(one()),
   f"select word, {N} from (select unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) as word from documents) {BY}")

@@ -13,6 +13,7 @@ from tidemill.functions.text import moderated
 from tidemill.session import fresh_path
 from tidemill.sources.upsert import KeyedTable
 from tidemill.streaming import facts, logs, metrics
+from tidemill.streaming.bloom import bloom_deduplicated
 from tidemill.streaming.sinks import drain, files_writer, run_to_table
 from tidemill.streaming.sources import LOG, change_log, json_lines
 from tidemill.streaming.state import live, only_newer
@@ -234,11 +235,18 @@ def raw_copy(t: Tables) -> DataFrame:
     drain(files_writer(lines(t, "change", change_topic).select("value"), path, fresh_path(t.spark, "raw-changes-ckpt"), fmt="text"))
     j = F.get_json_object
     rows = t.spark.read.text(path).select(j("value", "$.source.table").alias("source_table"), j("value", "$.op").alias("op"), j("value", "$.ts_ms").cast("bigint").alias("ts_ms"))
-    return rows.where(F.col("source_table").isin("order_info", "comment_info"))
+    return rows.where(F.col("source_table").isNotNull())
 
 
 REG.query("R2_raw_copy", raw_copy, """
 select 'order_info' as source_table, op, ts_ms from chg_order_info
+union all select 'order_detail', 'r', ts_ms from chg_order_detail
+union all select 'order_detail_activity', 'r', ts_ms + 1000 from chg_order_detail where l_discount > 0.05
+union all select 'order_detail_coupon', 'r', ts_ms + 2000 from chg_order_detail where l_tax > 0.04
+union all select 'payment_info', 'u', ts_ms from chg_payment_info
+union all select 'order_refund_info', 'u', ts_ms from chg_refund_info
+union all select 'refund_payment', 'u', ts_ms from chg_refund_payment
+union all select 'cart_info', op, ts_ms from chg_cart_info
 union all select 'comment_info', 'r', ts_ms from chg_comment_info""")
 REG.query("R2_dim_router", r2, """
 select 'dim_order' as sink_table, md5(id) as row_key, id, province_id as attr, cast(null as varchar) as not_listed,
@@ -501,3 +509,36 @@ REG.query("X19_order_ts_duplicates", lambda t: run_to_table(
     versions(t).withColumn("key", F.concat_ws("_", "id", "ts_ms")).dropDuplicatesWithinWatermark(["key"])
     .select("key"), "keys"), """
 select distinct order_id || '_' || ts as key from dwd_detail_versions""")
+BLOOM_RATE = 0.01
+
+
+def repeated(t: Tables) -> DataFrame:
+    """Comments in four slices of time, each sent again in the next file, as (key, ts)."""
+    path = fresh_path(t.spark, "repeated")
+    rows = t["chg_comment_info"].select(F.concat_ws("_", "id", "ts_ms").alias("key"), F.col("ts_ms").alias("ts"))
+    cuts = rows.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75], 10_000).alias("c")).first().c or []
+    edges = [None, *cuts, None]
+    for low, high in zip(edges[:-1], edges[1:]):
+        part = rows
+        if low is not None:
+            part = part.where(F.col("ts") > low)
+        if high is not None:
+            part = part.where(F.col("ts") <= high)
+        for _ in range(2):  # one file a batch, in the order of writing
+            part.coalesce(1).write.mode("append").json(path)
+    return t.spark.readStream.schema("key string, ts bigint").option("maxFilesPerTrigger", 1).json(path)
+
+
+def bloom(t: Tables) -> DataFrame:
+    """What the filter lets through, against the exact set of keys."""
+    rows = metrics.clocked(repeated(t), "ts", "2 hours")
+    passed = run_to_table(bloom_deduplicated(rows, "key", "4 hours", 2_000, BLOOM_RATE), "bloom")
+    seen = passed.agg(F.count(F.lit(1)).alias("passed"), F.count_distinct("key").alias("distinct_keys"))
+    every = t["chg_comment_info"].select(F.count_distinct(F.concat_ws("_", "id", "ts_ms")).alias("keys"))
+    both = seen.withColumn("_one", F.lit(1)).join(every.withColumn("_one", F.lit(1)), "_one")  # one row each
+    return both.select("keys", (F.col("passed") - F.col("distinct_keys")).alias("repeats"), (
+        F.col("keys") - F.col("distinct_keys") <= F.ceil(F.col("keys") * BLOOM_RATE)).alias("losses_within_rate"))
+
+
+REG.query("X19_bloom_filter", bloom, """
+select count(distinct id || '_' || ts_ms) as keys, 0::bigint as repeats, true as losses_within_rate from chg_comment_info""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.dates import ms_to_ds
@@ -181,6 +181,40 @@ def routed(batch: DataFrame, config: DataFrame, match_op: bool) -> DataFrame:
     return batch.join(c, cond).withColumn("payload", keep_columns(live_payload(), F.col("sink_columns")))
 
 
+#: Changes of the routing table, as records of their own: c, r and u set a route, d removes it.
+CONFIG_CHANGE = "change string, source_table string, sink_table string, sink_columns string, op string, changed_ms bigint"
+
+
+def config_history(config_log: DataFrame, keys: list[str]) -> DataFrame:
+    """The routes with the time in which each is valid: from its change to the next one of its key.
+
+    Of changes at the same time the last by name wins; a removed route ends and nothing begins. The log is one of configuration: its
+    keys have few versions each, so a window per key is small."""
+    per_key = Window.partitionBy(*keys).orderBy("changed_ms", "change", "sink_table", "sink_columns")
+    timed = config_log.withColumn("valid_to", F.lead("changed_ms").over(per_key)).withColumnRenamed("changed_ms", "valid_from")
+    return timed.where((F.col("change") != "d") & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
+
+
+def fact_routes_as_of(batch: DataFrame, history: DataFrame) -> DataFrame:
+    """(topic, value) of change records, each by the route that was valid at its time.
+
+    One running query calls this for every micro-batch with the history as it stands then: what is there at the start is preloaded, a later
+    change takes effect from its own time on, and a record that comes late is still routed by the table of its time."""
+    c = history.select(F.col("source_table").alias("_t"), F.col("op").alias("_op"), "sink_table", "sink_columns", "valid_from", "valid_to")
+    at = F.col("ts_ms")
+    cond = (F.col("source")["table"] == F.col("_t")) & (F.col("op") == F.col("_op")) & (at >= F.col("valid_from")) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
+    rows = batch.join(c, cond).withColumn("payload", keep_columns(live_payload(), F.col("sink_columns")))
+    body = F.map_concat("payload", F.create_map(F.lit("ts"), at.cast("string")))
+    return rows.select(F.col("sink_table").alias("topic"), F.to_json(body).alias("value"))
+
+
+def prefixed_merge(left: DataFrame, right: DataFrame, left_key: str, right_key: str, prefix: str, within_s: int) -> DataFrame:
+    """Two records as one: a row of ``left`` with each row of ``right`` of its key at most ``within_s`` seconds away, whose columns get
+    the prefix (J20). A key with many left rows is spread as in :func:`join_order`; the time is the left row's."""
+    named = right.select(F.col(right_key).alias("_o"), F.col("event_time").alias("_ot"), *[F.col(c).alias(f"{prefix}{c}") for c in right.columns if c != "event_time"])
+    return join_order(left, named, left_key, "event_time", within_s)
+
+
 def fact_routes(batch: DataFrame, config: DataFrame) -> DataFrame:
     """(topic, value): whitelisted columns plus the change time."""
     rows = routed(batch, config, match_op=True)
