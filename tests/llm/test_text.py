@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -72,6 +74,27 @@ def test_secrets(spark, odd, none):
     assert secrets.scan(odd, name="found").count() == len(ODD) and secrets.scan(none, name="found").count() == 0
 
 
+def test_secret_models_on_held_out_samples(spark, sf_dir):
+    """Recall of random strings of 12 characters and more; identifiers, constants, paths and prose are left alone."""
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    models = secrets.train(docs)
+    rng = random.Random(99)
+    for size in (12, 16, 24, 40):  # twelve hexadecimal digits are the hardest: 48 bits
+        each = [np.mean([secrets.ratio("".join(rng.choices(letters, k=size)), models.table) > models.margin for _ in range(400)]) for letters in secrets.KEYS]
+        assert np.mean(each) >= 0.9 and min(each) >= (0.9 if size > 12 else 0.8), (size, each)
+    unseen = [n for n in secrets.with_paths([n for n in secrets.library_names() if zlib.crc32(n.encode()) % 5 == 0], seed=5) if len(n) >= 12]
+    assert np.mean([secrets.ratio(n, models.table) > models.margin for n in unseen]) <= 0.01
+    harmless = """getApplicationContextFactoryBean THIS_IS_A_VERY_LONG_CONSTANT org/apache/spark/sql/catalyst/InternalRow AbstractSingletonProxyFactoryBean
+        test_retraction_within_lifetime_only usr/local/share/applications/mimeinfo HTTP_STATUS_INTERNAL_SERVER_ERROR content-security-policy-report-only
+        XMLHttpRequestEventTarget kubernetes-dashboard-certs SPARK_SQL_ADAPTIVE_COALESCE_PARTITIONS application/x-www-form-urlencoded
+        123e4567-e89b-12d3-a456-426614174000 libx264-preset-veryfast ==================== --------------------""".split()
+    key = "q7Zx2LmP9wKd4RtB"
+    text = " ".join([*harmless, key])
+    assert secrets.spans_of(text, models) == [(len(text) - 16, 3, len(text))]
+    prose = [x for r in docs.collect() for x in secrets.TOKEN.findall(r.text or "") if x.isalpha() and x[1:].islower()]
+    assert np.mean([secrets.ratio(x, models.table) > models.margin for x in prose] or [0]) <= 0.001
+
+
 def test_secrets_redacted(spark):
     df = spark.createDataFrame([("ab password=abcdefgh cd",)], "t string").withColumn("s", F.expr("array(named_struct('kind','assign','start',3,'end',20), named_struct('kind','hex','start',12,'end',20))"))
     assert df.select(secrets.redacted(F.col("t"), F.col("s")).alias("r")).first().r == "ab [SECRET] cd"
