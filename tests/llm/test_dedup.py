@@ -55,6 +55,23 @@ def test_index_continues_over_batches(spark):
     assert "Exchange" not in plan  # the buckets are the partitioning
 
 
+def test_repeated_batches_get_the_same_answer(spark):
+    """Three batches, each sent again: at once, after a stop that lost the result, and after later batches."""
+    index = exact_dedup.DigestIndex(spark, fresh_path(spark, "test-index"), 3)
+    batches = [[(5, "a"), (6, "b"), (6, "b"), (None, "n")], [(1, "a"), (2, "c"), (3, "c"), (None, "n")], [(9, "b"), (6, "b"), (2, "c"), (10, "d"), (10, "d")]]
+
+    def answer(batch, read=True):
+        out = exact_dedup.add_batch(index, make(spark, batch))
+        return sorted(((r.id, r.keep_id, r.kept, r.group_size) for r in out.collect()), key=str) if read else None
+
+    answer(batches[0], read=False)  # appended, but the result is lost
+    first = [answer(b) for b in batches]
+    assert first[0] == sorted([(5, 5, True, 1), (6, 6, False, 2), (6, 6, True, 2), (None, None, True, 1)], key=str)
+    assert first[1] == sorted([(1, 5, False, 1), (2, 2, True, 2), (3, 2, False, 2), (None, None, True, 1)], key=str)
+    assert first[2] == sorted([(9, 6, False, 2), (6, 6, True, 2), (2, 2, True, 1), (10, 10, False, 2), (10, 10, True, 2)], key=str)
+    assert [answer(b) for b in batches] == first and index.rows().count() == 5
+
+
 def brute(rows, k, percent=80):
     sets = [shingles(t, k) for _, t in rows]
     top = list(range(len(rows)))

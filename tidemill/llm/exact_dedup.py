@@ -4,8 +4,9 @@ The index is a parquet table bucketed and sorted by digest. A batch is reduced t
 meets the index in a sort-merge anti-join whose index side needs no exchange, and the digests that are left are appended.
 
 Defined cases: null text counts as empty; empty texts are equal to each other; a null id ranks after every other id; of
-rows that are equal in id and text one stays (whichever the engine numbers first); an empty batch changes nothing;
-extra columns are not looked at.
+rows that are equal in id and text one stays (whichever the engine numbers first); an empty batch changes nothing; a batch that comes again,
+also after a stop between its append and its result, gets the same answer: the row that the index names stays whenever a batch holds
+it (rows without an id that are equal in text count as the same row); extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -68,9 +69,16 @@ def add_batch(index: DigestIndex, docs: DataFrame, id_col: str = "doc_id", text_
     seen = (groups.join(known.hint("merge"), "digest")
             .select("digest", "keep_id", F.lit(None).cast("bigint").alias("keep_tie"), "group_size"))
     decided = settled(fresh.unionByName(seen), "decided")
+    met = decided.where(F.col("keep_tie").isNull())
+    if not met.isEmpty():  # of these the row that the index names stays, if it is in this batch
+        named = rows.join(met.select(F.col("digest").alias("of"), F.col("keep_id").alias("named_id")), (F.col("digest") == F.col("of")) & F.col("id").eqNullSafe(F.col("named_id")))
+        again = named.groupBy("digest").agg(F.min("tie").alias("again_tie"))
+        decided = settled(decided.join(again, "digest", "left").withColumn("stays", F.coalesce("keep_tie", "again_tie")).drop("again_tie"), "decided")
+    else:
+        decided = decided.withColumn("stays", F.col("keep_tie"))
     index.append(decided.where(F.col("keep_tie").isNotNull()))
     return rows.join(decided, "digest").select(
-        F.col("id"), "digest", "keep_id", "group_size", F.coalesce(F.col("tie") == F.col("keep_tie"), F.lit(False)).alias("kept"))
+        F.col("id"), "digest", "keep_id", "group_size", F.coalesce(F.col("tie") == F.col("stays"), F.lit(False)).alias("kept"))
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", index: DigestIndex | None = None) -> DataFrame:
