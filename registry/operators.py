@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registry.core import REG, Tables, half_up
 from registry.realtime import changes, details, done, lines, micro, pages, raw_log, win
-from tidemill.functions import dates, masks, numbers, rules, text
+from tidemill.functions import dates, masks, numbers, rules, segment, text
 from tidemill.operators import dedup, dims, horizons, merge, ranking, scd2, todate
 from tidemill.operators.ordered import OrderedGroups
 from tidemill.operators.quantiles import quantile_edges
@@ -727,6 +727,32 @@ from chg_cart_info, c where op = 'u' and ts_ms < two""")
 # ---------------------------------------------------------------- table functions and composite operators
 q("D1_words", lambda t: text.explode_words(t["documents"].select("doc_id", "text"), "text", "word").groupBy("word").agg(one()),
   f"select word, {N} from (select unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) as word from documents) {BY}")
+def short_words(t: Tables, longest: int) -> DataFrame:
+    """A dictionary from the corpus: words of two to ``longest`` letters that occur ten times or more."""
+    every = t["documents"].select(F.explode(text.words(F.col("text"))).alias("word"))
+    return every.where(F.length("word").between(2, longest)).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 10")
+
+
+q("D1_segmented", lambda t: segment.segmented(t["benchmark"].select("item_id", "text"), "text", short_words(t, 6), 6).groupBy("item_id", "keyword").agg(one()), f"""
+with recursive w as (select unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) as word from documents),
+  d as (select word, count(*) as n from w where length(word) between 2 and 6 group by word having count(*) >= 10),
+  c as materialized (select word, floor(1000 * ln(sum(n) over () / n))::bigint as cost from d),
+  r as materialized (select item_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) as run from benchmark),
+  u as materialized (select distinct run from r),
+  e as materialized (select run, pos, s as size, substr(run, pos + 1, s) as word from u, generate_series(0, length(run) - 1) a(pos), generate_series(1, 6) b(s)
+        where pos + s <= length(run)),
+  g as materialized (select run, pos, list({{'cost': c.cost, 'size': size}}) as ways from e join c using (word) group by run, pos),
+  x as materialized (select run, pos, ways from (select run, unnest(range(length(run))) as pos from u) left join g using (run, pos)),
+  p as (select run, length(run)::bigint as pos, [0::bigint] as ahead, []::bigint[] as sizes from u
+        union all
+        select run, x.pos, list_prepend(b.cost, ahead), list_prepend(-b.minus, sizes) from (
+          select p.run, x.pos, p.ahead, p.sizes, list_min(list_concat([{{'cost': ahead[1] + 20000, 'minus': -1::bigint}}],
+              list_transform(coalesce(x.ways, []), lambda y: {{'cost': y.cost + ahead[y.size], 'minus': -y.size::bigint}}))) as b
+          from p join x on x.run = p.run and x.pos = p.pos - 1) x),
+  f as (select run, sizes from p where pos = 0),
+  k as (select run, 0::bigint as pos, '' as word, sizes from f union all
+        select run, pos + sizes[pos + 1], substr(run, pos + 1, sizes[pos + 1]), sizes from k where pos < length(run))
+select item_id, word as keyword, {N} from r join k using (run) where word <> '' {BY}""")
 q("D2_count_aggregate", lambda t: ev(t).groupBy("ds").agg(one()), f"select ds, {N} from ev {BY}")
 q("D3_word_check", lambda t: text.moderated(t["documents"].select("doc_id", "text"), "text", t["documents"].select(
     F.element_at(F.split("text", ","), -1).alias("word")).groupBy("word").count().where("count > 1").select("word"))
