@@ -13,7 +13,7 @@ from tidemill.streaming import facts, metrics
 from tidemill.streaming.bloom import Layer, bits_for, bloom_deduplicated
 from tidemill.streaming.sinks import drain, files_writer
 from tidemill.streaming.sources import change_log, json_lines
-from tidemill.streaming.state import live
+from tidemill.streaming.state import first_of_day, live, only_newer
 
 
 def test_bloom_layer_rate():
@@ -113,3 +113,40 @@ def test_prefixed_merge_is_bounded_in_time(spark):
     drain(files_writer(facts.prefixed_merge(lines, orders, "order_id", "id", "info_", 2), out, ckpt).outputMode("append"))
     got = spark.read.parquet(out)
     assert sorted((r.id, r.info_id, r.info_v) for r in got.collect()) == [("a", "1", "x"), ("b", "1", "x")]
+
+
+def test_newest_over_batches(spark):
+    """One file a batch; an id comes late with an older version, and is forgotten two lifetimes later."""
+    path, out, ckpt = (fresh_path(spark, x) for x in ("in", "out", "ck"))
+    hour = 3_600_000
+    for batch in ([("a", 5, 0), ("a", 3, 1), ("b", 1, 0)], [("a", 4, 10), ("a", 9, 20), ("b", 1, 10)], [("a", 8, 15), ("c", 1, 5)],
+                  [("beat", 1, 9 * hour)], [("beat", 2, 9 * hour + 1)], [("a", 2, 9 * hour)]):
+        put(spark, path, [{"id": i, "v": v, "ts": T0 + t} for i, v, t in batch])
+    rec = F.from_json("value", "id string, v bigint, ts bigint").alias("r")
+    rows = metrics.clocked(json_lines(spark, path, 1).select(rec).select("r.*"), "ts", "2 hours").withColumnRenamed("v", "ts_ms")
+    drain(files_writer(only_newer(rows, ttl_ms=hour, buckets=2), out, ckpt).outputMode("append"))
+    got = sorted((r.id, r.ts_ms) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 2), ("a", 5), ("a", 9), ("b", 1), ("beat", 1), ("beat", 2), ("c", 1)]
+
+
+def test_first_of_day_over_batches(spark):
+    """Many keys of one bucket, one file a batch, late rows of earlier days, several days in one batch."""
+    path, out, ckpt = (fresh_path(spark, x) for x in ("in", "out", "ck"))
+    files = [[(f"u{i}", "p", i) for i in range(40)] + [("u1", "q", 7)], [(f"u{i}", "p", DAY + i) for i in range(0, 40, 2)] + [("u3", "p", 50_000)],
+             [("u1", "p", 12 * DAY), ("u2", "p", 12 * DAY), ("u2", "p", 13 * DAY), ("u4", "p", 11 * DAY + 5)]]
+    for batch in files:
+        put(spark, path, [{"mid": m, "page": p, "ts": T0 + t} for m, p, t in batch])
+    for k in (1, 2):
+        put(spark, path, [{"mid": "beat", "ts": T0 + 40 * DAY + k}])
+    rec = F.from_json("value", "mid string, page string, ts bigint").alias("r")
+    rows = metrics.clocked(json_lines(spark, path, 1).select(rec).select("r.*"), "ts", "3 days").where(live(F.col("mid") != "beat"))
+    drain(files_writer(first_of_day(rows, ["mid", "page"], "5 seconds"), out, ckpt).outputMode("append"))
+    want = {}
+    for m, p, t in (x for batch in files for x in batch):
+        want.setdefault((m, p), set()).add(t // DAY)
+    expected = []
+    for (m, p), days in want.items():
+        ordered = sorted(days)
+        expected += [(m, p, d, int(k == 0), None if k == 0 else d - ordered[k - 1]) for k, d in enumerate(ordered)]
+    got = spark.read.parquet(out).select("mid", "page", ((F.unix_millis("event_time") - T0) / DAY).cast("int").alias("d"), "is_first", "gap_days")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)

@@ -1,7 +1,8 @@
 """Keyed state on event streams.
 
 Only small streams reach a Python state processor: bursts of a key are thinned in the JVM first, with the key salted,
-so a key that sends a third of all events costs its few distinct (day, window) rows here and nothing more.
+so a key that sends a third of all events costs its few distinct (day, window) rows here and nothing more. A call settles a whole bucket
+of keys, with one state entry per key.
 """
 
 from __future__ import annotations
@@ -38,50 +39,54 @@ def once_per_window(df: DataFrame, keys: Sequence[str], grain: str, time: str =
     return w.dropDuplicates(["_w", *keys, "_salt"]).dropDuplicates(["_w", *keys]).drop("_salt")
 
 
+BUCKETS = 256  # of keys; part of the state, so it stays the same for the life of a query
+
+
 class DayMemory(StatefulProcessor):
-    """First event of each key's day, with what the key's past says about it.
+    """First event of each key's day, with what the key's past says about it; a call settles all keys of a bucket.
 
-    Emits key, event time, ``is_first`` (nothing of the key was seen before), ``gap_days`` since the active day before it
-    (null when there is none) and the carried columns of that first event. Keeps the days that the watermark still lets in, and
-    the last one before them.
+    Emits key columns, event time, ``is_first`` (nothing of the key was seen before), ``gap_days`` since the active day before it
+    (null when there is none) and the carried columns of that first event. The state has one entry per key: the days that the watermark
+    still lets in, and the last one before them. Only the entries of a batch's keys are read and written.
     """
 
-    def __init__(self, carry: Sequence[str] = ()):
-        self.carry = list(carry)
+    def __init__(self, keys: Sequence[str], carry: Sequence[str] = ()):
+        self.keys, self.carry = list(keys), list(carry)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.days = handle.getMapState("days", "day int", "seen int")
-        self.last = handle.getValueState("last", "day int")
+        self.memory = handle.getMapState("memory", "ident string", "days string, last int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best: dict[int, tuple] = {}
+        first = None
         for pdf in rows:
-            pdf = pdf.sort_values("event_time", kind="stable")
-            day = (pdf["event_time"].dt.floor("D") - pd.Timestamp(0)) // pd.Timedelta(days=1)
-            for d, at in pdf.groupby(day).head(1).assign(_day=day).set_index("_day")[["event_time", *self.carry]].iterrows():
-                if d not in best or at["event_time"] < best[d][0]:
-                    best[int(d)] = tuple(at)
-        closed = self.last.get()[0] if self.last.exists() else None  # the last day that no row can reach any more
-        known = {d for (d,) in self.days.keys()}
-        out = []
-        for d in sorted(best.keys() - known):
-            before = max((x for x in (*known, closed) if x is not None and x < d), default=None)
-            out.append((*key, best[d][0], 0 if known or closed is not None else 1, None if before is None else d - before, *best[d][1:]))
-            known.add(d)
-            self.days.updateValue((d,), (1,))
-        gone = [d for d in known if d < timerValues.getCurrentWatermarkInMs() // 86_400_000]
-        if gone:
-            self.last.update((max([*gone, *([] if closed is None else [closed])]),))
-            for d in gone:
-                self.days.removeKey((d,))
-        if out:
-            frame = pd.DataFrame(out, columns=[*self.key_names(len(key)), "event_time", "is_first", "gap_days", *self.carry])
-            frame["gap_days"] = frame["gap_days"].astype("Int64")
-            yield frame
-
-    @staticmethod
-    def key_names(n: int) -> list[str]:
-        return [f"k{i}" for i in range(n)]
+            pdf["day"] = ((pdf["event_time"].dt.floor("D") - pd.Timestamp(0)) // pd.Timedelta(days=1)).astype("int64")
+            both = pdf if first is None else pd.concat([first, pdf], ignore_index=True)
+            first = both.sort_values("event_time", kind="stable").drop_duplicates(["ident", "day"])
+        if first is None or first.empty:
+            return
+        closed_before = timerValues.getCurrentWatermarkInMs() // 86_400_000
+        first = first.sort_values(["ident", "day"], kind="stable", ignore_index=True)
+        keep, is_first, gap = [], [], []
+        for ident, at in first.groupby("ident", sort=False).indices.items():
+            state = self.memory.getValue((ident,)) if self.memory.containsKey((ident,)) else None
+            known = {int(d) for d in state[0].split(",") if d} if state else set()
+            last = state[1] if state else None  # the last day that no row can reach any more
+            for i in at:
+                day = int(first["day"].iat[i])
+                if day in known:
+                    continue
+                before = max((x for x in (*known, last) if x is not None and x < day), default=None)
+                keep.append(i), is_first.append(0 if known or last is not None else 1), gap.append(None if before is None else day - before)
+                known.add(day)
+            gone = [d for d in known if d < closed_before]
+            if gone:
+                last = max(gone if last is None else [*gone, last])
+            self.memory.updateValue((ident,), (",".join(str(d) for d in sorted(known) if d >= closed_before), last))
+        if keep:
+            out = first.iloc[keep][[*self.keys, "event_time", *self.carry]].reset_index(drop=True)
+            out.insert(len(self.keys) + 1, "is_first", is_first)
+            out.insert(len(self.keys) + 2, "gap_days", pd.array(gap, dtype="Int64"))
+            yield out
 
     def close(self) -> None:
         pass
@@ -104,15 +109,16 @@ def first_of_day(df: DataFrame, keys: Sequence[str], grain: str, carry: Sequence
     else:
         thin = once_per_window(df.select(*keys, "event_time"), keys, grain).select(
             *keys, F.window_time("_w").alias("event_time"))
-    named = ", ".join(f"k{i} {t}" for i, (_, t) in enumerate(thin.select(*keys).dtypes))
+    plain = [f"k{i}" for i in range(len(keys))]  # names without a leading underscore, which rows do not carry
+    named = ", ".join(f"{p} {t}" for p, (_, t) in zip(plain, thin.select(*keys).dtypes))
     carried = "".join(f", {c} {t}" for c, t in thin.select(*carry).dtypes) if carry else ""
-    out = thin.groupBy(*keys).transformWithStateInPandas(
-        DayMemory(carry), f"{named}, event_time timestamp, is_first int, gap_days bigint{carried}", "append", "eventTime",
+    ident = F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
+    rows = thin.select(F.pmod(F.xxhash64(ident), F.lit(BUCKETS)).cast("int").alias("bucket"), ident.alias("ident"),
+                       *[F.col(k).alias(p) for k, p in zip(keys, plain)], "event_time", *carry)
+    out = rows.groupBy("bucket").transformWithStateInPandas(
+        DayMemory(plain, carry), f"{named}, event_time timestamp, is_first int, gap_days bigint{carried}", "append", "eventTime",
         eventTimeColumnName="event_time")
-    return out.withColumnsRenamed({f"k{i}": k for i, k in enumerate(keys)})
-
-
-BUCKETS = 256
+    return out.withColumnsRenamed(dict(zip(plain, keys)))
 
 
 def with_retractions(df: DataFrame, key: str, version: str, payload: Sequence[str], grain: str, ttl_ms: int = 10_000) -> DataFrame:
@@ -146,30 +152,55 @@ def with_retractions(df: DataFrame, key: str, version: str, payload: Sequence[st
 
 
 class Newest(StatefulProcessor):
-    """Pass a row only when its version exceeds every version of its id seen before (X17), many ids per call. An id is forgotten ``ttl_ms`` after its newest row."""
+    """Pass a row only when its version exceeds every version of its id seen before (X17); a call settles all ids of a bucket.
+
+    One entry per id and generation of event time, of which the batch's ids alone are read and written. An id is looked for in the
+    generation of its time and the ones beside it, so it is remembered ``ttl_ms`` at least; a timer removes a generation as a whole.
+    """
 
     def __init__(self, id_type: str, ttl_ms: int):
         self.id_type, self.ttl_ms = id_type, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.top = handle.getListState("top", f"id {self.id_type}, ts_ms bigint, at_ms bigint")
+        self.handle = handle
+        self.top = handle.getMapState("top", f"generation bigint, id {self.id_type}", "ts_ms bigint")
+        self.open = handle.getMapState("open", "generation bigint", "seen int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        cols = ["id", "ts_ms", "at_ms"]
-        new = pd.concat(list(rows), ignore_index=True).sort_values(["event_time", "ts_ms"], kind="stable")
-        new["at_ms"] = (new["event_time"] - pd.Timestamp(0)) // pd.Timedelta(milliseconds=1)
-        old = pd.DataFrame(list(self.top.get()), columns=cols)
-        every = pd.concat([old, new[[*cols, "event_time"]]], ignore_index=True).astype({"ts_ms": "int64", "at_ms": "int64"})
-        seen = every.groupby("id")["ts_ms"].cummax().groupby(every["id"]).shift()
-        passed = every[every["event_time"].notna() & (seen.isna() | (every["ts_ms"] > seen))]
-        kept = every.groupby("id", as_index=False)[["ts_ms", "at_ms"]].max()
-        kept = kept[kept["at_ms"] + self.ttl_ms >= timerValues.getCurrentWatermarkInMs()]
-        if len(kept):
-            self.top.put([(i, int(v), int(a)) for i, v, a in kept[cols].itertuples(index=False, name=None)])
-        else:
-            self.top.clear()
-        if len(passed):
-            yield passed[["id", "ts_ms", "event_time"]]
+        best: dict[tuple, int] = {}  # of the ids of this call
+        touched, live = set(), {g for (g,) in self.open.keys()}
+        for pdf in rows:
+            pdf = pdf.sort_values(["event_time", "ts_ms"], kind="stable")
+            generation = ((pdf["event_time"] - pd.Timestamp(0)) // pd.Timedelta(milliseconds=self.ttl_ms)).astype("int64")
+            passed = []
+            for ident, ts, g in zip(pdf["id"], pdf["ts_ms"], generation):
+                newest = None
+                for near in (g - 1, g, g + 1):
+                    if (near, ident) not in best and near in live:
+                        best[near, ident] = self.top.getValue((near, ident))[0] if self.top.containsKey((near, ident)) else None
+                    seen = best.get((near, ident))
+                    newest = seen if newest is None or (seen is not None and seen > newest) else newest
+                passed.append(newest is None or ts > newest)
+                if passed[-1]:
+                    best[g, ident] = int(ts)
+                    touched.add((g, ident))
+            if any(passed):
+                yield pdf.loc[passed, ["id", "ts_ms", "event_time"]]
+        for g, ident in touched:
+            self.top.updateValue((g, ident), (best[g, ident],))
+        for g in {g for g, _ in touched} - live:
+            self.open.updateValue((g,), (1,))
+            self.handle.registerTimer((g + 2) * self.ttl_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        gone = expiredTimerInfo.getExpiryTimeInMs() // self.ttl_ms - 2
+        for g, ident in list(self.top.keys()):
+            if g <= gone:
+                self.top.removeKey((g, ident))
+        for (g,) in list(self.open.keys()):
+            if g <= gone:
+                self.open.removeKey((g,))
+        return iter([])
 
     def close(self) -> None:
         pass
@@ -179,7 +210,7 @@ def only_newer(df: DataFrame, ttl_ms: int = 86_400_000, buckets: int = BUCKETS)
     """Newest-first filter over ``id, ts_ms, event_time``; equal (id, ts_ms) pairs are dropped in the JVM before."""
     thin = df.select("id", "ts_ms", "event_time").dropDuplicatesWithinWatermark(["id", "ts_ms"])
     kind = dict(thin.dtypes)["id"]
-    return thin.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")).groupBy(
-        "_b").transformWithStateInPandas(
+    return thin.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")).groupBy(
+        "bucket").transformWithStateInPandas(
         Newest(kind, ttl_ms), f"id {kind}, ts_ms bigint, event_time timestamp", "append", "eventTime",
         eventTimeColumnName="event_time")
