@@ -71,6 +71,12 @@ def settled(df: DataFrame, label: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package, wherever the driver was started. Once per application."""
     context = spark.sparkContext

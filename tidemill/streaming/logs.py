@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.streaming.memory import VisitorMemory
 from tidemill.streaming.sources import parsed_log
 
 ROUTES = ("dirty", "err", "start", "display", "action", "page")
 
 
-def remembered_days(good: DataFrame) -> DataFrame:
-    """(mid, memory): the day a visitor is remembered by -- the day of the first event, or the day before it when
-    that event already said the visitor is not new (X15). An aggregate with map-side combine."""
+def visitors_seen(good: DataFrame) -> DataFrame:
+    """(mid, memory, first, last): the day a visitor is remembered by -- the day of the first event, or the day before it when
+    that event already said the visitor is not new (X15) -- and the days seen. An aggregate with map-side combine."""
     first = F.min_by(F.struct("ts", "common.is_new"), F.struct("ts", "common.is_new"))
     day = F.to_date(F.timestamp_millis("_m.ts"))
-    return good.groupBy(F.col("common.mid").alias("mid")).agg(first.alias("_m")).select(
-        "mid", F.when(F.col("_m.is_new") == "1", day).otherwise(F.date_sub(day, 1)).alias("memory"))
+    return good.groupBy(F.col("common.mid").alias("mid")).agg(first.alias("_m"), F.max("ts").alias("_last")).select(
+        "mid", F.when(F.col("_m.is_new") == "1", day).otherwise(F.date_sub(day, 1)).alias("memory"),
+        day.alias("first"), F.to_date(F.timestamp_millis("_last")).alias("last"))
 
 
 def repaired(good: DataFrame, memory: DataFrame) -> DataFrame:
@@ -49,37 +51,18 @@ def split(good: DataFrame) -> DataFrame:
     return good.select(F.explode(every).alias("_r")).select("_r.route", "_r.value")
 
 
-def process(lines: DataFrame, memory: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """One batch of raw lines -> (records by route, newly remembered visitors)."""
-    parsed = parsed_log(lines)
-    dirty = parsed.where(F.col("_corrupt").isNotNull()).select(F.lit("dirty").alias("route"), "value")
-    good = parsed.where(F.col("_corrupt").isNull())
-    fresh = remembered_days(good)
-    if memory is not None:
-        fresh = fresh.join(memory, "mid", "left_anti")
-        known = memory.select("mid", "memory").unionByName(fresh)
-    else:
-        known = fresh
-    return dirty.unionByName(split(repaired(good, known))), fresh
+def split_batches(out: str, memory_path: str, keep_days: int | None = 730):
+    """``foreachBatch`` job (R1): records partitioned by route, and a memory of visitors.
 
-
-def split_batches(out: str, memory_path: str, keep_days: int | None = None):
-    """``foreachBatch`` job (R1): records partitioned by route, and an append-only memory of visitors.
-
-    Both outputs live in a directory named by the batch id, so a repeated batch overwrites exactly its own files;
-    memory of earlier batches is read, never rewritten. ``keep_days`` forgets visitors remembered longer ago than
-    that, measured against the newest remembered day.
+    The records lie in a directory named by the batch id, so a repeated batch overwrites exactly its own files. The memory
+    (``VisitorMemory``) is read by the batch's visitors only; one not seen for ``keep_days`` days is forgotten (None: never).
+    Gaps are taken between batches: within one, a visitor is judged by the first event.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        memory = None
-        if batch_id > 0:
-            earlier = spark.read.schema("mid string, memory date, batch int").parquet(memory_path)
-            memory = earlier.where(F.col("batch") < batch_id).select("mid", "memory")
-            if keep_days is not None:
-                newest = memory.agg(F.max("memory").alias("m")).select("m").scalar()
-                memory = memory.where(F.col("memory") >= F.date_sub(newest, keep_days))
-        records, fresh = process(batch, memory)
-        fresh.write.mode("overwrite").parquet(f"{memory_path}/batch={batch_id}")
+        parsed = parsed_log(batch)
+        dirty = parsed.where(F.col("_corrupt").isNotNull()).select(F.lit("dirty").alias("route"), "value")
+        good = parsed.where(F.col("_corrupt").isNull())
+        memory = VisitorMemory(batch.sparkSession, memory_path, keep_days).update(visitors_seen(good), batch_id)
+        records = dirty.unionByName(split(repaired(good, memory)))
         records.write.mode("overwrite").partitionBy("route").parquet(f"{out}/batch={batch_id}")
     return run
