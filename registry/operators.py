@@ -11,7 +11,7 @@ from registry.core import REG, Tables, half_up
 from registry.realtime import changes, details, done, lines, micro, pages, raw_log, win
 from tidemill.functions import dates, masks, numbers, rules, segment, text
 from tidemill.operators import dedup, dims, horizons, merge, ranking, scd2, todate
-from tidemill.operators.ordered import OrderedGroups
+from tidemill.operators.ordered import OrderedGroups, places
 from tidemill.operators.quantiles import quantile_edges
 from tidemill.plans import rfm
 from tidemill.session import fresh_path
@@ -449,9 +449,12 @@ q("W5_consecutive_days", lambda t: dedup.consecutive_days(ev(t).select("user_id"
 select distinct user_id from (select user_id, date_diff('day', cast(ds as date), cast(lead(ds, 2) over (
   partition by user_id order by ds) as date)) as g from (select distinct user_id, ds from ev
   where ds between {E.d7} and {E.d})) where g = 2""")
-q("W6_next_and_number", lambda t: OrderedGroups(ev(t).select("event_id", "user_id", "event_type", "ts"), ["user_id"], [
-    F.col("ts"), F.col("event_id")], F.unix_micros(F.col("ts").cast("timestamp"))).step(
-    "event_type", "next", "rn").drop("ts"), """
+def next_and_number(t: Tables) -> DataFrame:
+    rows = ev(t).select("event_id", "user_id", "event_type", "ts")
+    return OrderedGroups(rows, ["user_id"], [F.col("ts"), F.col("event_id")], places(rows, "ts", "event_id")).step("event_type", "next", "rn").drop("ts")
+
+
+q("W6_next_and_number", next_and_number, """
 select event_id, user_id, event_type, lead(event_type) over w as next, row_number() over w as rn from events
 window w as (partition by user_id order by ts, event_id)""")
 q("W7_moving_average", lambda t: t["dwd_sku_sales_inventory_daily"].select(

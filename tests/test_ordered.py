@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.ordered import OrderedGroups, falling, rising
+from tidemill.operators.ordered import OrderedGroups, falling, places, rising
 from tidemill.operators.quantiles import quantile_edges, quintile_scores
 
 
@@ -85,3 +85,26 @@ def test_quintiles_closed_on_the_right(spark):
     got = {r.v: (r.up, r.down) for r in quintile_scores(df, {"up": ("v", False), "down": ("v", True)}).collect()}
     assert [got[float(i)][0] for i in range(1, 11)] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
     assert all(u + d == 6 for u, d in got.values())
+
+
+def cut_on_all(df, *order):
+    cols = [F.col(c.removeprefix("-")).desc() if c.startswith("-") else F.col(c) for c in order]
+    groups = OrderedGroups(df, ["k"], cols, places(df, *order), share=8, slices=64, least=8)
+    return groups, Window.partitionBy("k").orderBy(*cols)
+
+
+@pytest.mark.parametrize("ties", ["id", "name", "-name", "clock", "-at", "odd", "-odd"])
+def test_one_group_all_ties_in_the_first_key(spark, ties):
+    """The group is cut among its ties, by numbers that a double would round, strings, clock times, null and NaN."""
+    df = spark.range(4000).selectExpr(
+        "id * 7919 % 4000 + 9007199254740992 as id", "1 as k", "cast('2025-07-01 10:00:00' as timestamp) as ts",
+        "case when id % 9 = 0 then null else concat(repeat('ä', int(id % 4)), hex(id * 7919 % 4000)) end as name",
+        "timestamp_ntz '2025-03-30 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id * 7.000013) as clock",
+        "timestamp_micros(1751328000000000 + id * 7919 % 4000) as at",
+        "case when id % 9 = 0 then null when id % 7 = 0 then double('NaN') when id % 11 = 0 then double('Infinity') else double(id % 700) end as odd").cache()
+    groups, window = cut_on_all(df, "ts", ties, "id")
+    assert groups.sliced.select("_slice").distinct().count() > 20
+    want = (df.withColumn("nx", F.lead("id").over(window)) if "-" not in ties else df).withColumn("rn", F.row_number().over(window).cast("bigint"))
+    assert same(groups.row_number(), want, ["id", "rn"])
+    if "-" not in ties:
+        assert same(groups.step("id", "nx", "rn"), want, ["id", "nx", "rn"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.dates import as_ds, shift
-from tidemill.operators.ordered import OrderedGroups
+from tidemill.operators.ordered import OrderedGroups, places
 
 
 def first_of_day(df: DataFrame, key: str, ts: str = "ts") -> DataFrame:
@@ -64,8 +64,7 @@ def with_retractions(df: DataFrame, key: str, order: Sequence[Column], cut: Colu
 def only_newer(df: DataFrame, key: str, version: str, ties: Sequence[str]) -> DataFrame:
     """Rows that carry a greater version than everything before them in arrival order ``ties``."""
     order = [F.col(c) for c in ties]
-    cut = F.col(ties[0])
-    seen = OrderedGroups(df, [key], order, cut.cast("double")).running_max(version, "_seen")
+    seen = OrderedGroups(df, [key], order, places(df, *ties)).running_max(version, "_seen")
     return seen.where(F.col("_seen").isNull() | (F.col(version) > F.col("_seen"))).drop("_seen")
 
 

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import (BooleanType, CharType, DataType, DateType, DecimalType, DoubleType, FloatType, FractionalType,
+                               IntegralType, LongType, MapType, StringType, TimestampNTZType, TimestampType, VarcharType, VariantType)
 
 SHARE = 4096    # a group above this part of all rows is cut
 SLICES = 16384  # slices of all cut groups together, about
@@ -36,17 +37,58 @@ def falling(value: Column) -> Column:
     return F.coalesce(-F.nanvl(v, F.lit(float("inf"))), F.lit(float("inf")))
 
 
+def places(df: DataFrame, *order: str) -> list[Column]:
+    """A ``cut`` on the whole order ``order``: column names of ``df``, descending with a leading minus.
+
+    Every column gives numbers that rise along its order: whether it is null or NaN, then its value, in two halves where a
+    double would round it. Strings count by their first twelve bytes. The list ends at the first column whose different values may share
+    their numbers (strings, decimals, other types), as what follows it would no longer rise.
+    """
+    found = []
+    for name in order:
+        down, name = name.startswith("-"), name.removeprefix("-")
+        value, kind = F.col(f"`{name}`"), df.schema[name].dataType
+        numbers, exact = _numbers(value, kind)
+        odd = F.isnan(value) if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType) else F.lit(False)
+        kept = [F.when(value.isNull(), 0.0).when(odd, 2.0).otherwise(1.0), *[F.when(value.isNull() | odd, 0.0).otherwise(n) for n in numbers]]
+        found += [-n for n in kept] if down else kept
+        if not exact:
+            break
+    return found
+
+
+def _numbers(value: Column, kind: DataType) -> tuple[list[Column], bool]:
+    """Doubles that rise with ``value``, and whether different values always differ in them."""
+    if isinstance(kind, (StringType, CharType, VarcharType)):
+        part = lambda at: F.conv(F.rpad(F.hex(F.substring(F.encode(value, "utf-8"), at, 6)), 12, "0"), 16, 10).cast("double")
+        return [part(1), part(7)], False
+    if isinstance(kind, TimestampNTZType):
+        clock = F.hour(value) * 3600 + F.minute(value) * 60 + F.extract(F.lit("SECOND"), value).cast("double")
+        return [F.unix_date(value.cast("date")).cast("double"), clock], True
+    if isinstance(kind, (LongType, TimestampType)):
+        whole = F.unix_micros(value) if isinstance(kind, TimestampType) else value
+        return [F.shiftright(whole, 32).cast("double"), whole.bitwiseAND(F.lit((1 << 32) - 1)).cast("double")], True
+    if isinstance(kind, DateType):
+        return [F.unix_date(value).cast("double")], True
+    if isinstance(kind, (IntegralType, BooleanType, FloatType, DoubleType)):
+        return [value.cast("double")], True
+    return ([value.cast("double")] if isinstance(kind, DecimalType) else []), False
+
+
 class OrderedGroups:
     """``df`` grouped by ``keys`` and ordered by ``order``.
 
     ``cut`` is a numeric expression that never decreases along ``order``: ``rising`` or ``falling`` of the first order key (or
-    of its epoch value). Rows with equal ``cut`` always share a slice, so ties are never torn apart.
+    of its epoch value). Rows with equal ``cut`` always share a slice, so ties are never torn apart. A list, as of ``places``, is compared
+    number by number: with it a group is also cut among rows that are equal in the first order key.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column], cut: Column,
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column], cut: Column | Sequence[Column],
                  share: int = SHARE, slices: int = SLICES, least: int = LEAST):
         self.keys, self.order = list(keys), list(order)
-        base = df.withColumn("_cut", rising(cut))
+        single = isinstance(cut, Column)
+        self._empty = F.array().cast("array<array<double>>" if single else "array<array<array<double>>>")
+        base = df.withColumn("_cut", rising(cut) if single else F.array(*[rising(c) for c in cut]))
         total = base.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
         # the block that holds the bound, then the bound within it
         at = F.size(F.filter("_marks", lambda block: block[0] < F.col("_cut")))
@@ -55,7 +97,7 @@ class OrderedGroups:
         if not self.keys:
             # everything is one group: its slice bounds are a single value, no join needed
             marks = self._cut_points(base.withColumn("_n", total), total, slices, least).select("_marks").scalar()
-            marks = F.coalesce(marks, F.array().cast("array<array<double>>"))
+            marks = F.coalesce(marks, self._empty)
             self.sliced = base.withColumn("_marks", marks).withColumn(SLICE, slice_of).drop("_marks")
         else:
             hot = (base.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -86,7 +128,7 @@ class OrderedGroups:
         marks = F.array_distinct(F.filter(bounds, lambda m: m.isNotNull()))
         blocks = F.when(F.size("_m") > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size("_m") - 1) / BLOCK).cast("int")), lambda i: F.slice("_m", i * BLOCK + 1, BLOCK)))
         return (rows.where(draw).groupBy(*self.keys).agg(F.array_sort(F.collect_set("_cut")).alias("_p"), F.first("_pieces").alias("_pieces"))
-                .select(*self.keys, marks.alias("_m")).select(*self.keys, F.coalesce(blocks, F.array().cast("array<array<double>>")).alias("_marks")))
+                .select(*self.keys, marks.alias("_m")).select(*self.keys, F.coalesce(blocks, self._empty).alias("_marks")))
 
     def _per_slice(self, *aggs: Column) -> DataFrame:
         """One row per (cut group, slice); groups that were not cut need no stitching."""

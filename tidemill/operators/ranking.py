@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.ordered import OrderedGroups, falling
+from tidemill.operators.ordered import OrderedGroups, falling, places
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -43,7 +43,7 @@ def rank_all(df: DataFrame, keys: Sequence[str], value: str, out: str = "rk") ->
 def number_all(df: DataFrame, keys: Sequence[str], value: str, ties_by: Sequence[str], out: str = "rn") -> DataFrame:
     """Unbroken 1..n numbering by ``value`` descending, ties settled by ``ties_by`` ascending."""
     order = [F.col(value).desc(), *[F.col(c).asc() for c in ties_by]]
-    return OrderedGroups(df, keys, order, falling(F.col(value))).row_number(out)
+    return OrderedGroups(df, keys, order, places(df, f"-{value}", *ties_by)).row_number(out)
 
 
 def with_group_total(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:

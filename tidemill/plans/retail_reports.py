@@ -11,7 +11,7 @@ from tidemill.operators.dedup import consecutive_days
 from tidemill.operators.dims import lookup
 from tidemill.operators.horizons import explode_horizons, in_last, unfold_horizons
 from tidemill.operators.merge import one_row
-from tidemill.operators.ordered import OrderedGroups
+from tidemill.operators.ordered import OrderedGroups, places
 from tidemill.operators.ranking import top_n
 from tidemill.plans.retail_daily import PLACE, province_users
 
@@ -79,9 +79,9 @@ def ads_page_path(t, d) -> DataFrame:
     A session may hold any share of the day's views; the ordered operator cuts such a session by view time.
     """
     views = t["dwd_traffic_page_view_inc"].where(F.col("ds") == d).select(
-        "session_id", "page_id", F.col("view_time").cast("timestamp").alias("at"), "view_time")
+        "session_id", "page_id", "view_time")
     steps = OrderedGroups(views, ["session_id"], [F.col("view_time"), F.col("page_id")],
-                          F.unix_micros("at")).step("page_id", "next_page_id", "rn")
+                          places(views, "view_time", "page_id")).step("page_id", "next_page_id", "rn")
     source = F.concat(F.lit("step-"), F.col("rn").cast("string"), F.lit(":"), "page_id")
     target = F.concat(F.lit("step-"), (F.col("rn") + 1).cast("string"), F.lit(":"), "next_page_id")
     return _dated(steps.groupBy(source.alias("source"), F.coalesce(target, F.lit("null")).alias("target")).agg(
