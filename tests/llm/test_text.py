@@ -244,6 +244,71 @@ def test_licenses(spark, none):
     assert licenses.scan(files.limit(0), "doc_id", "path").count() == 0
 
 
+def test_license_versions_and_sentences(spark):
+    filler = "A long line about rain and rivers that says nothing of rights at all, on and on through the whole valley. "
+    rows = ["BSD 2-Clause License", "BSD 3-Clause License", filler + "It is released under the MIT License. " + filler, "Licensed under the ISC License.",
+            "GNU General Public License, version 2", "GNU General Public License, version 3", "Copyright 2020 A. All rights reserved. Licensed under the MIT License.", filler,
+            "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/", filler * 3000 + "Licensed under the MIT License. " + filler * 3000]
+    files = spark.createDataFrame([(i, f"d{i}/LICENSE" if i == 8 else f"d{i}/x", t, "clash", "clash") for i, t in enumerate(rows)], "doc_id long, path string, text string, lines string, cues string")
+    got = {r.id: r.license for r in licenses.scan(files, "doc_id", "path").collect()}
+    assert got == {0: "BSD-2-Clause", 1: "BSD-3-Clause", 2: "MIT", 3: "ISC", 4: "GPL-2.0", 5: "GPL-3.0", 6: "MIT", 7: None, 8: "Apache-2.0", 9: "MIT"}
+
+
+def plain_licenses(files):
+    """{id: (licence, origin, rounded cosine)} of (id, path, text) rows, by dictionaries and loops."""
+    import math
+    from collections import Counter
+
+    import regex
+    words = lambda t: Counter(w for w in regex.split(r"[^\p{L}\p{N}.]+|\.(?![0-9])", t.lower()) if w)
+    notices, in_file = {}, {}
+    for key, path, text in files:
+        lines = [x.strip(" ") for x in (text or "").split("\n") if x.strip(" ")]
+        cues = [x for x in lines if regex.search(licenses.CUE, x)]
+        in_file[key] = bool(regex.search(licenses.FILE_NAME, path.rsplit("/", 1)[-1])) or bool(cues) and len(cues) >= licenses.MOSTLY * len(lines)
+        found = cues + [y for x in cues for y in regex.split(licenses.SENTENCE, x) if regex.search(licenses.CUE, y)] + ([text or ""] if in_file[key] else [])
+        notices[key] = set(found)
+    held = Counter(t for found in notices.values() for t in found)
+    fixed = [(name, t) for name, texts in licenses.TEMPLATES.items() for t in texts]
+    df = Counter()
+    for t, n in [*held.items(), *[(t, 1) for _, t in fixed]]:
+        df.update({w: n for w in words(t)})
+    total = sum(held.values()) + len(fixed)
+
+    def vector(t):
+        v = {w: tf * (math.log((total + 1) / (df[w] + 1)) + 1) for w, tf in words(t).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    def like(t):
+        v = vector(t)
+        found = [(name == licenses.RESERVED, -round(c, 9), name) for name, o in marks for c in [sum(x * o.get(w, 0) for w, x in v.items())] if c >= licenses.LEAST]
+        return sorted(found)[:1] if not found else [min(found, key=lambda f: (f[1], f[2]))]
+
+    marks = [(name, vector(t)) for name, t in fixed]
+    known = {t: like(t) for t in held}
+    own = {key: min((f for t in found for f in known[t]), default=None) for key, found in notices.items()}
+    granted = {}
+    for key, path, _ in files:
+        if in_file[key] and own[key]:
+            folder = path.rpartition("/")[0]
+            granted[folder] = min(granted.get(folder, own[key][1:]), own[key][1:])
+    out = {}
+    for key, path, _ in files:
+        folder, parts = path.rpartition("/")[0], path.split("/")[:-1]
+        above = next((granted[x] for n in range(len(parts), -1, -1) for x in ["/".join(parts[:n])] if x in granted), None)
+        out[key] = (own[key][2], "own", round(-own[key][1], 6)) if own[key] else (above[1], "inherited", 0.0) if above else (None, "none", 0.0)
+    return out
+
+
+def test_licenses_by_brute_force(spark):
+    """All documents of the small table, with the paths of the query."""
+    got = {r.doc_id: (r.license, r.origin, round(r.cosine, 6)) for r in queries.op5_license_scan(spark, "/root/testdata/sf0.001").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    want = plain_licenses([(d.doc_id, f"{d.source}/{d.lang}/{d.doc_id // 100}/{d.doc_id}.txt", d.text) for d in docs])
+    assert got == want and {w[1] for w in want.values()} >= {"own", "none"}
+
+
 # tokens
 
 @pytest.fixture(scope="module")

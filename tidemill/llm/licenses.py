@@ -1,12 +1,13 @@
 """Licence scan: sparse TF-IDF cosine of notices to templates, then inheritance from the nearest ancestor directory.
 
-A notice is a line that mentions a licence; a licence file is one by name, or one whose lines are mostly notices, and is also compared
+A notice is a line that mentions a licence, or a sentence of such a line that does; a licence file is one by name, or one whose lines are mostly notices, and is also compared
 as a whole. Terms are weighted by how few notices (of all files) and templates have them. Equal notices are compared once, so a line that a third
 of all files share costs one comparison. A file without a licence of its own takes that of the nearest ancestor directory with a
 licence file. Column expressions throughout.
 
 Defined cases: null text counts as empty; a null path has no directory and inherits nothing; a file without notices and without an
-ancestor's licence has a null licence; of several notices the most similar decides, on ties the alphabetically first licence; the same
+ancestor's licence has a null licence; of several notices the most similar decides, on ties the alphabetically first licence, but one that
+grants a licence goes before one that only reserves rights; the same
 holds for several licence files of a directory; an empty table gives no rows; repeated rows are each reported; extra columns are not
 looked at.
 """
@@ -21,12 +22,17 @@ from tidemill.session import settled
 
 #: Licence id -> wordings of its notices. Fixed values.
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0",
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0", "Apache License Version 2.0, January 2004", "SPDX-License-Identifier: Apache-2.0",
                    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License"],
     "MIT": ["Released under the MIT License", "Licensed under the MIT License", "SPDX-License-Identifier: MIT",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
-    "BSD-3-Clause": ["Licensed under the 3-clause BSD License", "SPDX-License-Identifier: BSD-3-Clause",
+    "BSD-3-Clause": ["Licensed under the 3-clause BSD License", "BSD 3-Clause License", "SPDX-License-Identifier: BSD-3-Clause",
                      "Redistribution and use in source and binary forms, with or without modification, are permitted"],
+    "BSD-2-Clause": ["Licensed under the 2-clause BSD License", "BSD 2-Clause License", "SPDX-License-Identifier: BSD-2-Clause"],
+    "ISC": ["Licensed under the ISC License", "SPDX-License-Identifier: ISC",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2", "GNU General Public License, version 2", "SPDX-License-Identifier: GPL-2.0-or-later"],
+    "LGPL-2.1": ["Licensed under the GNU Lesser General Public License, version 2.1", "SPDX-License-Identifier: LGPL-2.1-or-later"],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3", "SPDX-License-Identifier: GPL-3.0-or-later",
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License version 3"],
     "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0-or-later"],
@@ -38,7 +44,9 @@ TEMPLATES = {
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0", "SPDX-License-Identifier: CC0-1.0"],
     "LicenseRef-Proprietary": ["All rights reserved", "Proprietary and confidential. All rights reserved"],
 }
-CUE = r"(?i)licen[sc]|copyright|spdx|creative commons|\bcc[ -]by\b|\bcc0\b|public domain|rights reserved|redistribut|permission is hereby granted"
+CUE = r"(?i)licen[sc]|copyright|spdx|creative commons|\bcc[ -]by\b|\bcc0\b|public domain|rights reserved|redistribut|permission is hereby granted|permission to use"
+SENTENCE = r"(?<=[.!?;])\s+(?=\p{Lu})"
+RESERVED = "LicenseRef-Proprietary"
 FILE_NAME = r"(?i)^(licen[sc]e|copying|notice|unlicense)([._-].*)?$"
 LEAST = 0.6  # cosine from which a notice counts as the licence
 MOSTLY = 0.5  # share of notices among the lines of a licence file
@@ -87,11 +95,13 @@ def scan(files: DataFrame, id_col: str, path_col: str, text_col: str = "text") -
     named = F.coalesce(F.substring_index("path", "/", -1).rlike(FILE_NAME), F.lit(False))
     rows = plain.withColumn("lines", lines).withColumn("cues", cues).withColumn("is_file", named | ((F.size("cues") > 0) & (F.size("cues") >= MOSTLY * F.size("lines"))))
     directory = F.when(F.contains("path", F.lit("/")), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), F.lit(""))
-    texts = F.array_distinct(F.when(F.col("is_file"), F.concat("cues", F.array("text"))).otherwise(F.col("cues")))
+    sentences = F.filter(F.flatten(F.transform("cues", lambda x: F.split(x, SENTENCE))), lambda x: x.rlike(CUE))
+    texts = F.array_distinct(F.concat("cues", sentences, F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>"))))
     rows = settled(rows.select("id", "path", directory.alias("dir"), "is_file", F.monotonically_increasing_id().alias("row"), texts.alias("notices")), "notices")
     notices = rows.select("row", F.explode("notices").alias("text"))
     known = settled(compared(notices.groupBy("text").agg(F.count(F.lit(1)).alias("n"))), "licensed")
-    best = notices.join(known, "text").groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("less"), "license")).alias("best"))
+    best = notices.join(known, "text").groupBy("row").agg(
+        F.min(F.struct((F.col("license") == RESERVED).alias("reserved"), (-F.col("cosine")).alias("less"), "license")).alias("best"))
     own = settled(rows.drop("notices").join(best, "row", "left").select("id", "path", "dir", "is_file", F.col("best.license").alias("own"), (-F.col("best.less")).alias("cosine")), "own")
     # path joins: every directory that occurs meets the licences of its ancestors, the nearest one stays
     granted = settled(own.where("is_file and own is not null and dir is not null").groupBy("dir").agg(F.min(F.struct((-F.col("cosine")).alias("less"), F.col("own").alias("license"))).alias("g"))
