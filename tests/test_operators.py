@@ -154,3 +154,13 @@ def test_moderation_reads_the_last_token(spark):
     df = spark.createDataFrame([(1, "a,bad"), (2, "bad,a"), (3, "bad")], "id int, txt string")
     got = text.moderated(df, "txt", spark.createDataFrame([("bad",)], "word string"))
     assert rows(got, "id", "is_violation") == [(1, 1), (2, 0), (3, 1)]
+
+
+def test_retractions_read_their_input_once(spark, tmp_path):
+    path = str(tmp_path / "versions")
+    spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("b", 1, 7), (None, 1, 2), (None, 3, 4)], "id string, v int, x int").write.parquet(path)
+    df = spark.read.parquet(path)
+    got = dedup.with_retractions(df, "id", [F.col("v")], F.col("v"), ["x"])
+    assert not [f for f in got.inputFiles() if path in f]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [
+        ("a", 1, 5), ("a", 1, -5), ("a", 2, None), ("b", 1, 7), (None, 1, 2), (None, 1, -2), (None, 3, 4)]))
