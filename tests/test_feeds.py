@@ -43,3 +43,28 @@ def test_detail_versions_come_from_one_pass(spark, tmp_path):
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want)) and len(want) > 20
     plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert sum("Relation" in line and "l_linenumber" in line for line in plan) == 1
+
+
+class Given(dict):
+    """Tables by name, with what a feed needs besides."""
+
+    def __init__(self, spark, tables, sf_dir):
+        super().__init__(tables)
+        self.spark, self.sf_dir = spark, sf_dir
+
+
+def test_large_feed_is_read_in_batches_that_follow_each_other(spark, monkeypatch):
+    monkeypatch.setattr(realtime, "ROWS_A_FILE", 100)
+    monkeypatch.setattr(realtime, "FILES_A_BATCH", 3)
+    rows = spark.range(1, 601).select(F.to_json(F.struct("id", (F.col("id") * 60_000).alias("ts"))).alias("value"), (F.col("id") * 60_000).alias("at"))
+    t = Given(spark, {"orders": rows, "lineitem": rows, "events": rows}, "feeds-in-order")
+    mixed = lambda _: rows.repartition(8, "value")
+    read = realtime.flat(t, "ordered", mixed, "id bigint", "0 seconds", timed=True)
+    batches = []
+
+    def seen(batch, batch_id):
+        batches.append(batch.count())
+
+    realtime.drain(read.dropDuplicates(["id", "event_time"]).writeStream.foreachBatch(seen).option(
+        "checkpointLocation", realtime.fresh_path(spark, "ordered-ckpt")))
+    assert sum(batches) == 600 and sum(n > 0 for n in batches) == 6  # 18 files, three a batch, nothing late
