@@ -2,6 +2,7 @@
 
 import datetime as dt
 import pathlib
+import time
 import types
 
 import duckdb
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from registry import realtime
 from registry.core import _DUCK_SOURCES, Tables
 
+from tidemill.session import shuffles_removed
+
 ORDERS = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
           "o_orderpriority string")
 LINES = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
@@ -68,3 +71,34 @@ def test_large_feed_is_read_in_batches_that_follow_each_other(spark, monkeypatch
     realtime.drain(read.dropDuplicates(["id", "event_time"]).writeStream.foreachBatch(seen).option(
         "checkpointLocation", realtime.fresh_path(spark, "ordered-ckpt")))
     assert sum(batches) == 600 and sum(n > 0 for n in batches) == 6  # 18 files, three a batch, nothing late
+
+
+def test_large_feed_is_cut_without_moving_its_lines(spark, monkeypatch):
+    monkeypatch.setattr(realtime, "ROWS_A_FILE", 100)
+    monkeypatch.setattr(realtime, "FILES_A_BATCH", 3)
+    at = F.pmod(F.xxhash64("id"), F.lit(1000)).cast("bigint")
+    rows = spark.range(0, 3000, 1, 5).select(F.to_json(F.struct("id")).alias("value"), F.when(F.col("id") > 5, at).alias("at"))
+    t = Given(spark, {"orders": rows, "lineitem": rows, "events": rows.limit(0)}, "feeds-cut")
+    path = realtime.feed(t, "cut", lambda _: rows)
+    folder = pathlib.Path(path.removeprefix("file:"))
+    slices = sorted(folder.glob("slice=*"), key=lambda p: int(p.name[6:]))
+    files = [[f for f in s.iterdir() if not f.name.startswith(".")] for s in slices]
+    assert len(slices) == 20 and {len(f) for f in files} == {realtime._ORDERED[path]}
+    assert all(max(f.stat().st_mtime for f in a) < min(f.stat().st_mtime for f in b) for a, b in zip(files, files[1:]))
+    read = spark.read.text(path)
+    assert read.select("value").exceptAll(rows.select("value")).isEmpty() and read.count() == 3000
+    timed = read.join(rows, "value").groupBy("slice").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.count("*").alias("n")).orderBy("slice").collect()
+    assert all(a.high < b.low for a, b in zip(timed, timed[1:])) and sum(r.n for r in timed) == 3000
+
+
+def test_shuffles_of_a_build_are_removed(spark, tmp_path):
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: sum("shuffle_" in store.getAllFiles().apply(i).getName() for i in range(store.getAllFiles().size()))
+    before = held()
+    with shuffles_removed(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "rows"))
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.1)
+    assert held() <= before and spark.read.parquet(str(tmp_path / "rows")).count() == 1000
