@@ -11,6 +11,7 @@ from registry import realtime
 from registry.core import _DUCK_SOURCES, Tables
 
 from tidemill.session import shuffles_removed
+from tidemill.streaming.state import first_of_day
 
 ORDERS = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
           "o_orderpriority string")
@@ -93,7 +94,11 @@ def test_large_feed_is_cut_without_moving_its_lines(spark, monkeypatch):
 
 def test_shuffles_of_a_build_are_removed(spark, tmp_path):
     store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    held = lambda: sum("shuffle_" in store.getAllFiles().apply(i).getName() for i in range(store.getAllFiles().size()))
+
+    def held():
+        files = store.getAllFiles()
+        return sum("shuffle_" in files.apply(i).getName() for i in range(files.size()))
+
     before = held()
     with shuffles_removed(spark):
         spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "rows"))
@@ -102,3 +107,9 @@ def test_shuffles_of_a_build_are_removed(spark, tmp_path):
             break
         time.sleep(0.1)
     assert held() <= before and spark.read.parquet(str(tmp_path / "rows")).count() == 1000
+
+
+def test_first_of_day_thins_in_one_step(spark):
+    rows = spark.readStream.format("rate").load().select(F.col("value").cast("string").alias("user_id"), F.col("timestamp").alias("event_time")).withWatermark("event_time", "0 seconds")
+    plan = first_of_day(rows, ["user_id"], "5 seconds")._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" not in plan and plan.count("Aggregate [") == 1
