@@ -145,6 +145,22 @@ def test_pii_adds_what_the_patterns_miss(spark):
     assert not any(got[i] for i in range(300, 660))
 
 
+def test_pii_learns_from_all_proposals(spark):
+    sort = lambda start, digits, yes: F.struct(F.struct(F.lit("number_like").alias("kind"), start.cast("int").alias("start"), F.lit(20).alias("end"),
+                                                        *[F.lit(float(digits if f == "digits" else 1)).alias(f) for f in pii.FEATURES]).alias("p"), F.lit(yes).alias("confirmed"), F.lit(False).alias("refuted"))
+    rows = spark.range(45_000).withColumn("x", F.when(F.col("id") < 30_000, sort(F.col("id"), 9, True)).otherwise(sort(F.col("id"), 12, False)))
+    met = rows.select(F.array("x").alias("proposed"))
+    fitted, seen = pii.boosting.fit, []
+    try:
+        pii.boosting.fit = lambda few, *args, **more: (seen.append(few.agg(F.sum(F.col(more["weight"]) if "weight" in more else F.lit(1)).alias("n")).first().n), fitted(few, *args, **more))[1]
+        model, limits = pii.learn(met)
+    finally:
+        pii.boosting.fit = fitted
+    assert seen == [45_000] and 0.5 <= limits["number_like"] <= 1
+    low, high = (model.probability(lambda name: F.lit(float(n if name == "digits" else 1))) for n in (9, 12))
+    assert spark.range(1).select(low.alias("low"), high.alias("high")).first().low > 0.8
+
+
 def test_pii_runs_no_python(spark, odd):
     plan = pii.found_in(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
