@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from registry import realtime
 from registry.core import _DUCK_SOURCES, Tables
 
-from tidemill.session import shuffles_removed
+from tidemill.session import fresh_path, shuffles_removed
 from tidemill.streaming.state import first_of_day
 
 ORDERS = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
@@ -49,6 +49,24 @@ def test_detail_versions_come_from_one_pass(spark, tmp_path):
     assert sum("Relation" in line and "l_linenumber" in line for line in plan) == 1
 
 
+def test_raw_copy_is_packed_harder_than_its_feed_and_whole(spark, monkeypatch):
+    def topic(t):
+        after = {"id": F.col("id").cast("string"), "sku_name": F.md5(F.pmod(F.xxhash64("id"), F.lit(3000)).cast("string"))}
+        return spark.range(0, 30_000, 1, 2).select(realtime._record("order_detail", after, F.lit("r"), {}, F.col("id")))
+
+    written = []
+    monkeypatch.setattr(realtime, "change_topic", topic)
+    monkeypatch.setattr(realtime, "fresh_path", lambda spark, label: written.append(fresh_path(spark, label)) or written[-1])
+    got = realtime.raw_copy(types.SimpleNamespace(spark=spark, sf_dir="feeds-raw-copy"))
+    assert sorted((r.source_table, r.op, r.ts_ms) for r in got.collect()) == [("order_detail", "r", i) for i in range(30_000)]
+
+    def size(label):
+        path = next(p for p in written if f"/{label}-" in p and "ckpt" not in p)
+        return sum(f.stat().st_size for f in pathlib.Path(path.removeprefix("file:")).rglob("part-*"))
+
+    assert size("raw-changes") < 0.8 * size("feed-change") and spark.conf.get("parquet.page.size", None) is None
+
+
 class Given(dict):
     """Tables by name, with what a feed needs besides."""
 
