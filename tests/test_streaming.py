@@ -189,6 +189,19 @@ def test_router_reads_its_config_every_batch(spark):
     assert [json.loads(r.value) for r in facts.dim_routes(changes, dims).collect()] == [{"id": "1"}]
 
 
+def test_router_does_not_shuffle_its_records(spark, monkeypatch):
+    changes = spark.createDataFrame([("u", None, {"id": "1"}, {"table": "cart_info"}, 1)],
+                                    "op string, before map<string,string>, after map<string,string>, source map<string,string>, ts_ms bigint")
+    config = spark.createDataFrame([("cart_info", "dwd_cart", "id", "u")], "source_table string, sink_table string, sink_columns string, op string")
+
+    def plan():
+        return facts.fact_routes(changes, config)._jdf.queryExecution().sparkPlan().toString()
+
+    assert "BroadcastHashJoin" in plan()  # the optimizer does not know the size of this table
+    monkeypatch.setattr(facts, "ROUTES", 0)
+    assert "BroadcastHashJoin" not in plan() and facts.fact_routes(changes, config).count() == 1
+
+
 @pytest.mark.parametrize("op, was, now, want", [("r", None, "3", 3), ("u", "1", "3", 2), ("u", "3", "1", None), ("u", None, "3", None)])
 def test_cart_adds(spark, op, was, now, want):
     df = spark.createDataFrame([(op, {"sku_num": was} if was else {}, {"id": "1", "sku_num": now}, {"table": "cart_info"}, T0)],
