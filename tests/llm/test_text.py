@@ -345,3 +345,16 @@ def test_bpe_round_trip(spark, none, library):
             assert bytes(r.back) == text.encode()
             assert r.h == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in r.out)).hexdigest()
     assert bpe.encode(none, PATH, public_tokenizers.PATTERN, name="out").count() == 0
+
+
+def test_bpe_folds_many_words_at_once(spark, library):
+    rng = random.Random(4)
+    words = [b"".join(rng.choice(list(library._mergeable_ranks)) for _ in range(rng.randrange(1, 6))) for _ in range(500)]
+    words += [bytes(rng.choice(b"ab =0\xc3\xa9") for _ in range(rng.randrange(250))) for _ in range(500)]
+    ids, ends = bpe.Merges(library._mergeable_ranks)(words)
+    for i, w in enumerate(words):
+        assert ids[ends[i]:ends[i + 1]].tolist() == (library._encode_single_piece(w) if w else []), w
+    some = bpe.Merges({b"a": 5, b"b": 3, b"ab": 9, b"abb": 7})  # a byte without a rank has no id
+    assert [x.tolist() for x in some([b"aab", b"abb", b"xab", b"abbb"])] == [[5, 9, 7, -1, 9, 7, 3], [0, 2, 3, 5, 7]]
+    plan = bpe.encode(make(spark, [(1, "some rare words")]), PATH, public_tokenizers.PATTERN, name="out", most=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan  # the fold is no expression that the JVM interprets word by word

@@ -1,14 +1,13 @@
 """Byte-level BPE: encoding by a rank file, and decoding.
 
-A text is cut into words by the vocabulary's pattern, whose rules are applied to whole batches of code points; the merges of a word depend on the word alone. They are folded by Spark's
-higher-order functions over the word's bytes: in each step the first neighbours whose joined bytes have the lowest rank are joined, until
-no pair has a rank. The rank map is a literal, split into small maps by a checksum so that a look-up costs the same for any size.
+A text is cut into words by the vocabulary's pattern, whose rules are applied to whole batches of code points; the merges of a word depend on the word alone. The merges of
+all words of a batch are folded together: in each round the first neighbours of every word whose joined bytes have the lowest rank are joined,
+until no pair has a rank. The pairs that can be joined, every token cut in two tokens, are one sorted table.
 
 Words are folded once per corpus if they are among its most frequent (a table of at most ``FREQUENT`` words, found by counting all
-words), else once per text that has them. The table only saves work: ids are the same with any table.
+words), else once per batch of texts that has them. The table only saves work: ids are the same with any table.
 
-Bytes are handled as strings of the characters 0 to 255. Words of more than ``LONG`` bytes go through the tiktoken library, as a fold is
-quadratic in the word's length.
+Words of more than ``LONG`` bytes go through the tiktoken library, as a fold is quadratic in the word's length.
 
 Defined cases: null text counts as empty and has no ids; decoding null or no ids gives no bytes; ids outside the vocabulary decode to
 nothing; an empty table gives no rows; repeated rows are each encoded; extra columns stay, but for one named as the result.
@@ -18,8 +17,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import json
-import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,10 +32,11 @@ from tidemill.llm import tokens
 from tidemill.llm.common import q, ready
 from tidemill.session import settled
 
-BUCKETS = 1 << 13  # small maps that the rank map is split into, a power of two
+CELLS = 1 << 17  # bytes of words that are folded in one table
 FREQUENT = 1 << 19
 LONG = 256
 LETTER, NUMBER, SPACE = 1, 2, 3
+_NEVER, _NONE = np.iinfo(np.int32).max, np.iinfo(np.int64).max
 # Fixed value: the white space of the pattern's \s (Unicode White_Space), which differs between regex libraries.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -54,61 +52,83 @@ def explicit(pattern: str) -> str:
     return pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]")
 
 
-def _latin(token: bytes) -> str:
-    return token.decode("latin-1")
-
-
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """array<map<string, int>>: the ranks by checksum of the token, constant-folded before execution."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for token, rank in ranks.items():
-        buckets[zlib.crc32(_latin(token).encode()) % BUCKETS][_latin(token)] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
-
-
-def _bound(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
-def word_ids(word: Column, ranks: Column) -> Column:
-    """array<int>: the ids of one word, by folding the ranked merges over its bytes."""
-    return _bound(ranks, lambda table: _folded(word, table))  # bound: the plan holds the literal once
-
-
-def _folded(word: Column, ranks: Column) -> Column:
-    def rank(token: Column) -> Column:
-        return F.element_at(F.get(ranks, F.crc32(token.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")), token)
-
-    def ranked(left: Column, right: Column, there: Column) -> Column:
-        """The rank of a pair as an array of one, or no element."""
-        return F.when(there, F.array(rank(F.concat(left, right)))).otherwise(F.array().cast("array<int>"))
-
-    def step(state: Column, _: Column) -> Column:
-        """Join the first pair of the lowest rank; only the two pairs that the new token enters are looked up."""
-        symbols, pairs = state.symbols, state.pairs
-        n = F.size(symbols)
-
-        def at(p: Column) -> Column:
-            def joined(token: Column) -> Column:
-                after = F.concat(F.slice(symbols, F.lit(1), p - 1), F.array(token), F.slice(symbols, p + 2, n))
-                ranks_after = F.concat(F.slice(pairs, F.lit(1), F.greatest(p - 2, F.lit(0))), ranked(F.get(symbols, p - 2), token, p > 1),
-                                       ranked(token, F.get(symbols, p + 1), p + 1 < n), F.slice(pairs, p + 2, n))
-                return F.struct(after.alias("symbols"), ranks_after.alias("pairs"))
-
-            return F.when(p == 0, state).otherwise(_bound(F.concat(F.get(symbols, p - 1), F.get(symbols, p)), joined))
-
-        return _bound(F.coalesce(F.array_position(pairs, F.array_min(pairs)), F.lit(0)).cast("int"), at)
-
-    def folded(latin: Column) -> Column:
-        def merged(letters: Column) -> Column:
-            pairs = F.zip_with(F.slice(letters, F.lit(1), F.size(letters) - 1), F.slice(letters, F.lit(2), F.size(letters)), lambda x, y: rank(F.concat(x, y)))
-            start = F.struct(letters.alias("symbols"), pairs.alias("pairs"))
-            return F.transform(F.aggregate(F.sequence(F.lit(1), F.size(letters)), start, step, lambda s: s.symbols), rank)
-
-        return _bound(rank(latin), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(_bound(F.split(latin, "(?!^)"), merged)))
-
-    return _bound(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), folded)
+class Merges:
+    """Folds the ranked merges over many words at once. Symbols are numbered by rank, so the lowest number is the pair to join first."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        missing = [bytes([b]) for b in range(256) if bytes([b]) not in ranks]
+        order = sorted(ranks, key=ranks.get)
+        symbol = {token: i for i, token in enumerate(order + missing)}
+        self.whole = ranks
+        self.ids = np.array([ranks[t] for t in order] + [-1] * len(missing), np.int32)  # -1, which becomes null: a byte that the vocabulary lacks
+        self.bytes = np.array([symbol[bytes([b])] for b in range(256)], np.int32)
+        pairs = {}
+        for token in order:
+            for cut in range(1, len(token)):
+                left, right = symbol.get(token[:cut]), symbol.get(token[cut:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = symbol[token]
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        at = np.argsort(keys)
+        self.keys, self.joined = np.append(keys[at], _NONE), np.append(np.fromiter(pairs.values(), np.int32, len(pairs))[at], _NEVER).astype(np.int32)
+
+    def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The symbol that two symbols are joined to, or _NEVER."""
+        key = left.astype(np.int64) << 32 | right
+        spot = np.searchsorted(self.keys, key)
+        return np.where(self.keys[spot] == key, self.joined[spot], _NEVER)
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, where the ids of each begin and end). A word that is a token is that token."""
+        size = np.array([len(w) for w in words], np.int64)
+        token = np.array([self.whole.get(w, -1) for w in words], np.int64)
+        many = np.where(token >= 0, 1, size)
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.flatnonzero(token >= 0), many[token >= 0], token[token >= 0].astype(np.int32))]
+        fold = np.flatnonzero(token < 0)
+        fold = fold[np.argsort(size[fold], kind="stable")]  # words of like length share a table
+        while len(fold):
+            wide = int(size[fold[0]]) * 5 // 4 + 1
+            some = fold[:min(int(np.searchsorted(size[fold], wide, "right")), max(1, CELLS // wide))]
+            fold = fold[len(some):]
+            parts.append((some, *self._folded([words[i] for i in some], size[some])))
+        for some, count, _ in parts:
+            many[some] = count
+        ends = np.concatenate([[0], np.cumsum(many)]).astype(np.int64)
+        out = np.zeros(ends[-1], np.int32)
+        for some, count, ids in parts:
+            before = np.cumsum(count) - count
+            out[np.arange(len(ids)) + np.repeat(ends[some] - before, count)] = ids
+        return out, ends
+
+    def _folded(self, words: list[bytes], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per word, ids). A row per word: its symbols, the symbol that each would be joined to with its right neighbour, and both neighbours'
+        places. Every round joins in every word the first of its pairs of lowest rank, until no word has one."""
+        n, wide = len(words), int(size.max(initial=0)) + 1  # the last place stays empty
+        there = np.arange(wide) < size[:, None]
+        symbols = np.zeros((n, wide), np.int32)
+        symbols[there] = self.bytes[np.frombuffer(b"".join(words), np.uint8)]
+        best = np.full((n, wide), _NEVER, np.int32)
+        left = there[:, 1:]
+        best[:, :-1][left] = self.pair(symbols[:, :-1][left], symbols[:, 1:][left])
+        after = np.broadcast_to(np.minimum(np.arange(1, wide + 1), wide - 1), (n, wide)).copy()
+        after = np.where(np.arange(1, wide + 1) < size[:, None], after, wide - 1).astype(np.int32)
+        before = np.broadcast_to(np.arange(-1, wide - 1), (n, wide)).astype(np.int32)
+        row = np.arange(n)  # words that still have a pair
+        while len(row):
+            at = best[row].argmin(1)
+            to = best[row, at]
+            row, at, to = row[to < _NEVER], at[to < _NEVER], to[to < _NEVER]
+            gone = after[row, at]
+            follows = after[row, gone]
+            symbols[row, at], after[row, at] = to, follows
+            there[row, gone], best[row, gone], best[row, at] = False, _NEVER, _NEVER
+            some = follows < wide - 1
+            before[row[some], follows[some]] = at[some]
+            best[row[some], at[some]] = self.pair(to[some], symbols[row[some], follows[some]])
+            ahead = before[row, at]
+            some = ahead >= 0
+            best[row[some], ahead[some]] = self.pair(symbols[row[some], ahead[some]], to[some])
+        return there.sum(1), self.ids[symbols[there]]
 
 
 @lru_cache(maxsize=1)
@@ -177,9 +197,9 @@ def word_starts(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class _Texts:
-    """Cuts texts; known words become ids at once, the others are listed for the fold."""
+    """Cuts texts; the ids of known words are at hand, the others are folded once per batch."""
 
-    def __init__(self, words: list[str], flat: np.ndarray, ends: np.ndarray, ranks: dict[bytes, int]):
+    def __init__(self, words: list[str], flat: np.ndarray, ends: np.ndarray, merges: Merges):
         parts = [np.zeros(0, np.uint64)]
         for low in range(0, len(words), 1 << 16):
             some = words[low:low + (1 << 16)]
@@ -188,16 +208,29 @@ class _Texts:
         hashes = np.concatenate(parts)
         order = np.argsort(hashes)
         self.hashes, self.number = hashes[order], order.astype(np.int32)
-        self.flat, self.ends, self.ranks, self.library = flat, ends, ranks, None
+        self.flat, self.ends, self.merges, self.library = flat, ends, merges, None
 
     def by_library(self, word: str) -> list[int]:
         if self.library is None:
             import tiktoken
-            self.library = tiktoken.Encoding("whole", pat_str=r"(?s).+", mergeable_ranks=self.ranks, special_tokens={})
+            self.library = tiktoken.Encoding("whole", pat_str=r"(?s).+", mergeable_ranks=self.merges.whole, special_tokens={})
         return self.library.encode_ordinary(word)
 
-    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
-        """(ids of known words, ends of the runs between rare words, runs per text, rare words per text, rare words)."""
+    def folded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, where the ids of each begin and end)."""
+        coded = [w.encode() for w in words]
+        long = [i for i, w in enumerate(coded) if len(w) > LONG]
+        ids, ends = self.merges([b"" if len(w) > LONG else w for w in coded])
+        if not long:
+            return ids, ends
+        extra = [np.array(self.by_library(words[i]), np.int32) for i in long]
+        many = np.diff(ends)
+        ids = np.insert(ids, np.repeat(ends[long], [len(e) for e in extra]), np.concatenate(extra))
+        many[long] = [len(e) for e in extra]
+        return ids, np.concatenate([[0], np.cumsum(many)]).astype(np.int64)
+
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where the ids of each begin and end)."""
         whole = "".join(texts)
         points = _points(whole)
         bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
@@ -207,33 +240,26 @@ class _Texts:
         spot = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
         known = self.hashes[spot] == hashes if len(self.hashes) else np.zeros(len(start), bool)
         word = np.where(known, self.number[spot] if len(self.hashes) else 0, -1).astype(np.int64)
-        flat, ends = self.flat, self.ends
-        for i in np.flatnonzero(~known & (end - start > LONG // 4)):
-            if len((text := whole[start[i]:end[i]]).encode()) > LONG:
-                word[i] = len(ends) - 1
-                flat = np.append(flat, np.array(self.by_library(text), np.int32))
-                ends = np.append(ends, len(flat))
-        size = np.where(word >= 0, ends[word + 1] - ends[word], 0) if len(ends) > 1 else np.zeros(len(word), np.int64)
+        rare: dict[str, int] = {}
+        word[~known] = [rare.setdefault(whole[a:b], len(self.ends) - 1 + len(rare)) for a, b in zip(start[~known].tolist(), end[~known].tolist())]
+        flat, ends = self.folded(list(rare))
+        flat, ends = np.concatenate([self.flat, flat]), np.concatenate([self.ends, self.ends[-1] + ends[1:]])
+        size = ends[word + 1] - ends[word]
         total = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        begin = np.repeat(np.where(word >= 0, ends[word], 0) - total[:-1], size) if len(word) else np.zeros(0, np.int64)
-        ids = flat[np.arange(total[-1]) + begin].astype(np.int32)
-        rare = np.flatnonzero(word < 0)
-        after = np.searchsorted(start, bounds[1:])  # words up to the end of every text
-        many = np.diff(np.concatenate([[0], np.searchsorted(rare, after)]))
-        # a run ends at every rare word and at every end of a text, in this order
-        stops = np.insert(total[rare], np.searchsorted(rare, after), total[after])
-        return ids, stops, many + 1, many, [whole[start[i]:end[i]] for i in rare]
+        ids = flat[np.arange(total[-1]) + np.repeat(ends[word] - total[:-1], size)]
+        return ids, total[np.searchsorted(start, bounds)]
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        offsets = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
         for batch in batches:
-            ids, stops, runs, many, rare = self.cut([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
-            inner = pa.ListArray.from_arrays(pa.array(np.append(0, stops).astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(offsets(runs), inner), pa.ListArray.from_arrays(offsets(many), pa.array(rare, pa.string()))],
-                                             names=[*batch.schema.names[:-1], "runs", "rare"])
+            ids, ends = self.cut([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(ids, ends)], names=[*batch.schema.names[:-1], "out"])
+
+
+def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32(), mask=ids < 0))
 
 
-def frequent_words(texts: Column, docs: DataFrame, pattern: str, ranks: Column, most: int = FREQUENT) -> pa.Table:
+def frequent_words(texts: Column, docs: DataFrame, pattern: str, merges: Merges, most: int = FREQUENT) -> pa.Table:
     """(word, ids) of the most frequent words, ``most`` at most; all words of all texts are counted."""
     words = docs.select(F.explode(F.regexp_extract_all(F.coalesce(texts, F.lit("")), F.lit(pattern), F.lit(0))).alias("word"))
     counts = settled(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").where(F.octet_length("word") <= LONG), "words")
@@ -244,7 +270,12 @@ def frequent_words(texts: Column, docs: DataFrame, pattern: str, ranks: Column,
             break
         least = row.level
     chosen = counts.where(level >= least) if least is not None else counts.limit(0)
-    return chosen.select("word", word_ids(F.col("word"), ranks).alias("ids")).toArrow()
+
+    def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch({"word": batch.column(0), "ids": _lists(*merges([w.encode() for w in batch.column(0).to_pylist()]))})
+
+    return chosen.select("word").mapInArrow(with_ids, "word string, ids array<int>").toArrow()
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", name: str = "ids", most: int = FREQUENT) -> DataFrame:
@@ -252,23 +283,14 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", nam
     if pattern != PATTERN:
         raise ValueError("no cutting rules for this pattern")
     ready(docs.sparkSession)
-    table = load_ranks(path)
-    ranks = rank_literal(table)
-    known = frequent_words(q(text_col).cast("string"), docs, explicit(pattern).replace("\\x85", "\\u0085").replace("\\xa0", "\\u00a0"), ranks, most)
+    merges = Merges(load_ranks(path))
+    known = frequent_words(q(text_col).cast("string"), docs, explicit(pattern).replace("\\x85", "\\u0085").replace("\\xa0", "\\u00a0"), merges, most)
     ids = known["ids"].combine_chunks()
-    texts = _Texts(known["word"].to_pylist(), ids.flatten().to_numpy().astype(np.int32), ids.offsets.to_numpy().astype(np.int64), table)
+    texts = _Texts(known["word"].to_pylist(), ids.flatten().fill_null(-1).to_numpy().astype(np.int32), ids.offsets.to_numpy().astype(np.int64), merges)
     cols = [c for c in docs.columns if c not in (text_col, name)]  # under plain names on the way, as theirs may be anything
     plain = docs.select(*[q(c).alias(f"c{i}") for i, c in enumerate(cols)], q(text_col).cast("string").alias("text"))
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]), "runs array<array<int>>", "rare array<string>"])
-    cut = plain.mapInArrow(texts, schema)
-
-    def assembled(folded: Column) -> Column:
-        rest = F.zip_with(folded, F.slice("runs", F.lit(2), F.size("rare")), lambda ids, run: F.concat(ids, run))
-        return F.concat(F.get("runs", F.lit(0)), F.flatten(rest))
-
-    # the fold is bound, so that it is computed once per text and not once per use
-    whole = F.when(F.size("rare") == 0, F.get("runs", F.lit(0))).otherwise(_bound(F.transform("rare", lambda w: word_ids(w, ranks)), assembled))
-    return cut.select(*[f"c{i}" for i in range(len(cols))], whole.alias("out")).toDF(*cols, name)
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]), "out array<int>"])
+    return plain.mapInArrow(texts, schema).toDF(*cols, name)
 
 
 def decoder(path: str) -> Callable[[Column], Column]:
