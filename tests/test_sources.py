@@ -1,9 +1,11 @@
 """Reads, writes and keyed tables."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.session import fresh_path, settled
+from tidemill.session import fresh_path, settled, shared_folder
 from tidemill.sources import tables as src
 from tidemill.sources.upsert import KeyedTable, upsert_batches
 
@@ -77,6 +79,20 @@ def test_two_streams_with_equal_batch_ids_keep_all_rows(spark):
     assert {r.id: r.v for r in table.read().collect()} == {1: "a", 2: "b", None: "m"}
 
 
+def test_merge_moves_batch_and_table_once(spark):
+    table, folder = KeyedTable(spark, fresh_path(spark, "k"), ["id", "n"], buckets=4), pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    rows = spark.range(200).select(F.when(F.col("id") > 0, F.col("id")).alias("id"), F.lit("x").alias("n"), (F.col("id") * 2).alias("ts"))
+    partitions, left = spark.conf.get("spark.sql.shuffle.partitions"), len(list(folder.glob("upsert-*")))
+    table.merge(rows, ["ts"])
+    table.merge(rows.where("id < 100").withColumns({"ts": F.lit(-1).cast("long"), "more": F.lit("m")}), ["ts"])
+    got = {r.id: (r.ts, r.more) for r in table.read().collect()}
+    assert got == {None: (0, None), **{i: (-1, "m") if i < 100 else (2 * i, None) for i in range(1, 200)}}
+    assert len(list(folder.glob("upsert-*"))) == left  # nothing is left of the batches
+    parts = sorted(pathlib.Path(table.path.removeprefix("file:")).glob("_bucket=*"))
+    assert len(parts) == 4 and all(len(list(p.glob("part-*"))) == 1 for p in parts)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+
+
 def test_settled_reads_back(spark, days):
     again = settled(days)
     assert again.exceptAll(days).count() == 0 and "parquet" in again._jdf.queryExecution().executedPlan().toString().lower()
