@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -358,3 +359,16 @@ def test_bpe_folds_many_words_at_once(spark, library):
     assert [x.tolist() for x in some([b"aab", b"abb", b"xab", b"abbb"])] == [[5, 9, 7, -1, 9, 7, 3], [0, 2, 3, 5, 7]]
     plan = bpe.encode(make(spark, [(1, "some rare words")]), PATH, public_tokenizers.PATTERN, name="out", most=0)._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan  # the fold is no expression that the JVM interprets word by word
+
+
+def test_bpe_takes_a_large_batch_in_stretches(library, monkeypatch):
+    seen = []
+    cut = bpe._Texts.cut
+    monkeypatch.setattr(bpe._Texts, "cut", lambda self, texts: seen.append(sum(map(len, texts))) or cut(self, texts))
+    texts = [None, "a b " * 100_000, "", "x" * 700_000, *["some words here " * 2_000] * 40, None]
+    empty = np.zeros(0, np.int32), np.zeros(1, np.int64)
+    batch = pa.record_batch({"c0": pa.array(range(len(texts))), "text": pa.array(texts, pa.string())})
+    out = [r for b in bpe._Texts([], *empty, bpe.Merges(library._mergeable_ranks))([batch]) for r in b.to_pylist()]
+    assert [r["c0"] for r in out] == list(range(len(texts)))
+    assert all(r["out"] == library.encode_ordinary(t or "") for r, t in zip(out, texts) if t is None or len(t) < 100_000)
+    assert sum(seen) == sum(len(t or "") for t in texts) and max(n for n in seen if n != 700_000) <= 1 << 19

@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from public_tokenizers import PATTERN
 from pyspark.sql import Column, DataFrame
@@ -251,8 +252,21 @@ class _Texts:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, ends = self.cut([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(ids, ends)], names=[*batch.schema.names[:-1], "out"])
+            texts = batch.column(batch.num_columns - 1)
+            for low, high in _stretches(np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)), tokens.CHUNK):
+                some = batch.slice(low, high - low)
+                ids, ends = self.cut([t or "" for t in texts[low:high].to_pylist()])
+                yield pa.RecordBatch.from_arrays([*some.columns[:-1], _lists(ids, ends)], names=[*batch.schema.names[:-1], "out"])
+
+
+def _stretches(ends: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """(first row, row after the last) of stretches of rows of about ``size`` in all, as a worker keeps what its largest batch took; a larger
+    row is a stretch of its own. ``ends`` are running sums."""
+    low = 0
+    while low < len(ends):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + size, "right")))
+        yield low, high
+        low = high
 
 
 def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
@@ -304,12 +318,15 @@ def decoder(path: str) -> Callable[[Column], Column]:
 
     @F.arrow_udf(BinaryType())
     def decode(ids: pa.Array) -> pa.Array:
-        flat = ids.values.to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = np.where((flat < 0) | (flat >= len(size) - 1), len(size) - 1, flat)
-        total = np.concatenate([[0], np.cumsum(size[flat])])
-        data = every[np.arange(total[-1]) + np.repeat(begin[flat] - total[:-1], size[flat])].tobytes()
-        ends = total[ids.offsets.to_numpy()]
-        return pa.array([data[a:b] if ok else None for a, b, ok in zip(ends[:-1], ends[1:], ids.is_valid().to_pylist())], pa.binary())
+        flat, ends, valid, out = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy(), ids.is_valid().to_pylist(), []
+        for low, high in _stretches(ends[1:] - ends[0], tokens.CHUNK // 4):
+            some = flat[ends[low]:ends[high]].astype(np.int64)
+            some = np.where((some < 0) | (some >= len(size) - 1), len(size) - 1, some)
+            total = np.concatenate([[0], np.cumsum(size[some])])
+            data = every[np.arange(total[-1]) + np.repeat(begin[some] - total[:-1], size[some])].tobytes()
+            at = total[ends[low:high + 1] - ends[low]]
+            out += [data[a:b] if ok else None for a, b, ok in zip(at[:-1], at[1:], valid[low:high])]
+        return pa.array(out, pa.binary())
 
     return lambda ids: F.coalesce(decode(ids), F.lit(b""))
 
