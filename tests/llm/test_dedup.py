@@ -153,6 +153,17 @@ def test_components_of_a_path(spark):
     assert all(got[i] == 0 for i in range(41)) and got[101] == got[100] == 100
 
 
+def test_components_write_two_tables_a_round(spark, monkeypatch):
+    written, settled = [], minhash.settled
+    monkeypatch.setattr(minhash, "settled", lambda df, label: written.append(label) or settled(df, label))
+    edges = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    assert {(r.node, r.comp) for r in minhash.components(edges([(0, i) for i in range(1, 9)])).collect()} == {(i, 0) for i in range(9)}
+    assert written == ["large"]  # a star is seen to be done
+    assert {(r.node, r.comp) for r in minhash.components(edges([(9, 5), (9, 2), (5, 7), (3, 3)])).collect()} == {(i, 2) for i in (2, 5, 7, 9)}
+    assert written[1:] == ["large", "stars"] * (len(written) // 2 - 1) + ["large"]
+    assert minhash.components(edges([])).count() == 0
+
+
 def test_near_copies_of_lower_similarity(spark):
     # texts 2i and 2i + 1 share 6 of 16 words, 37.5 %
     rows = [(i, " ".join([f"s{i // 2}x{j}" for j in range(6)] + [f"o{i}x{j}" for j in range(5)])) for i in range(60)]

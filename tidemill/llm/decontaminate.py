@@ -211,7 +211,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     same = [F.col(f"h.{c}").eqNullSafe(F.col(f"c.{c}")) for c in place]
     found = _aligned(hits.alias("h").join(cover.alias("c"), same, "left_semi"), place).groupBy(*place, "alignment")
     pairs = found.agg(F.max("n_windows").alias("n_windows"), matched, F.flatten(F.collect_list("pairs")).alias("pairs")).where(enough)
-    pairs = pairs.select(*place, "alignment", "n_windows", "matched", F.explode_outer("pairs").alias("p"))
+    # written here, as one plan of all steps costs the driver as much again with every exchange that ends
+    pairs = settled(pairs, "alignments").select(*place, "alignment", "n_windows", "matched", F.explode_outer("pairs").alias("p"))
     by = [*place, "alignment", "n_windows", "matched"]
     mapped = pairs.groupBy(*by, "p.a", "p.b").agg(F.count("p").alias("n"))
     best = mapped.groupBy(*by, "a").agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).alias("same"))
