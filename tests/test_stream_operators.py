@@ -150,3 +150,59 @@ def test_first_of_day_over_batches(spark):
         expected += [(m, p, d, int(k == 0), None if k == 0 else d - ordered[k - 1]) for k, d in enumerate(ordered)]
     got = spark.read.parquet(out).select("mid", "page", ((F.unix_millis("event_time") - T0) / DAY).cast("int").alias("d"), "is_first", "gap_days")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_newest_lists_its_entries_once_for_many_generations():
+    """A batch of many days has one timer, which removes what is over with one call."""
+    import types
+
+    import pandas as pd
+
+    from tidemill.streaming.state import Newest
+
+    calls = {"keys": 0, "timers": 0, "sets": 0}
+
+    class Entries(dict):
+        containsKey = dict.__contains__
+        getValue = dict.__getitem__
+
+        def updateValue(self, k, v):
+            calls["sets"] += 1
+            self[k] = v
+
+        def removeKey(self, k):
+            del self[k]
+
+        def keys(self):
+            calls["keys"] += 1
+            return super().keys()
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, v):
+            calls["sets"] += 1
+            self.held = v
+
+        def clear(self):
+            self.held = None
+
+    timers = []
+    handle = types.SimpleNamespace(getMapState=lambda *a: Entries(), getValueState=lambda *a: Value(), registerTimer=timers.append)
+    newest = Newest("string", 1000)
+    newest.init(handle)
+    pdf = pd.DataFrame({"id": [f"i{k % 7}" for k in range(300)], "ts_ms": range(300), "event_time": pd.to_datetime([k * 500 for k in range(300)], unit="ms")})
+    now = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    assert sum(len(p) for p in newest.handleInputRows(None, iter([pdf]), now)) == 300 and timers == [2000]
+    half = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: 100_000)
+    list(newest.handleExpiredTimer(None, half, types.SimpleNamespace(getExpiryTimeInMs=lambda: timers[0])))
+    assert timers == [2000, 101_000] and newest.generations() == set(range(99, 150)) and {g for g, _ in newest.top} == set(range(99, 150))
+    late = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: 10_000_000)
+    list(newest.handleExpiredTimer(None, late, types.SimpleNamespace(getExpiryTimeInMs=lambda: timers[1])))
+    assert calls["keys"] <= 1 and len(timers) == 2 and not newest.top and not newest.generations() and calls["sets"] <= 300 + 2
